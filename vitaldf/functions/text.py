@@ -67,13 +67,9 @@ def xml_attributes(c) -> Column:
     c = _col(c)
     keys = F.regexp_extract_all(c, F.lit(_ATTR), 1)
     vals = F.transform(F.regexp_extract_all(c, F.lit(_ATTR), 2), xml_unescape)
-    # Attribute names are unique within a well-formed element; keep the
-    # last one if a malformed line repeats a name.
-    entries = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    dedup = F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-        lambda later: later["k"] == e["k"]))
-    return F.map_from_entries(dedup)
+    # Attribute names are unique in a well-formed element; a line that
+    # repeats one is malformed and yields no attributes (so no record).
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, vals))
 
 
 def json_raw(cols: Sequence[str]) -> Column:

@@ -11,6 +11,19 @@ _WEEKDAY_FORMAT = "EEE MMM dd HH:mm:ss yyyy"
 _WEEKDAY_SHAPE = r"^[A-Z][a-z]{2} [A-Z][a-z]{2} \d{2} \d{2}:\d{2}:\d{2} \d{4}$"
 # Offsets written "+08:00" need the ISO pattern letter in addition to "Z".
 _COLON_OFFSET_FORMATS = ["yyyy-MM-dd HH:mm XXX", "yyyy-MM-dd HH:mm:ss XXX"]
+_D, _T = r"\d{4}-\d{2}-\d{2}", r"\d{2}:\d{2}:\d{2}"
+_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": rf"^{_D} {_T}$",
+    "yyyy-MM-dd-HH:mm:ss": rf"^{_D}-{_T}$",
+    "yyyy-MM-dd": rf"^{_D}$",
+    "MM/dd/yyyy HH:mm:ss": rf"^\d{{2}}/\d{{2}}/\d{{4}} {_T}$",
+    "MM/dd/yyyy": r"^\d{2}/\d{2}/\d{4}$",
+    "yyyy-MM-dd HH:mm Z": rf"^{_D} \d{{2}}:\d{{2}} [+-]\d{{4}}$",
+    "yyyy-MM-dd HH:mm:ss Z": rf"^{_D} {_T} [+-]\d{{4}}$",
+    "yyyy-MM-dd HH:mm:ss.SSS": rf"^{_D} {_T}\.\d{{3}}$",
+    "yyyy-MM-dd HH:mm XXX": rf"^{_D} \d{{2}}:\d{{2}} (Z|[+-]\d{{2}}:\d{{2}})$",
+    "yyyy-MM-dd HH:mm:ss XXX": rf"^{_D} {_T} (Z|[+-]\d{{2}}:\d{{2}})$",
+}
 
 
 def _col(c) -> Column:
@@ -23,26 +36,56 @@ def blank_to_null(c) -> Column:
     return F.when(F.trim(c) != "", c)
 
 
+def _sql_lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ts_parse_sql(x: str) -> str:
+    """SQL text of :func:`ts_parse` over the SQL expression ``x``."""
+    whens = []
+    for fmt in TS_FORMATS + _COLON_OFFSET_FORMATS:
+        if fmt == _WEEKDAY_FORMAT:
+            whens.append(f"WHEN {x} RLIKE {_sql_lit(_WEEKDAY_SHAPE)} THEN try_to_timestamp("
+                         f"regexp_replace({x}, {_sql_lit('^[A-Z][a-z]{2} ')}, ''), "
+                         f"'MMM dd HH:mm:ss yyyy')")
+        else:
+            whens.append(f"WHEN {x} RLIKE {_sql_lit(_SHAPES[fmt])} THEN try_to_timestamp({x}, '{fmt}')")
+    return (f"date_trunc('second', CASE WHEN {x} IS NULL OR trim({x}) = '' THEN NULL "
+            + " ".join(whens) + f" ELSE try_cast({x} AS TIMESTAMP) END)")
+
+
+def _name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def ts_parse(c) -> Column:
     """Parse export timestamp text; NULL when empty or unparseable.
 
+    Pass a column *name* where possible: the expression is then built as
+    one SQL text (one call into the JVM instead of dozens).
+
     Strict formats first (mutually exclusive, so order is irrelevant), then a
     lenient ISO-8601 cast.  Offsets are converted to the session zone.  The
     result is cut to whole seconds, the precision of the rendered form.
     """
+    if isinstance(c, str):
+        return F.expr(ts_parse_sql(_name(c)))
     s = blank_to_null(c)
-    parsed = []
+    # Each strict format is tried only on text of its exact shape: a cheap
+    # regex test picks the one candidate, so the formatter never has to
+    # fail (a failed parse costs an exception per row).
+    out = None
     for fmt in TS_FORMATS + _COLON_OFFSET_FORMATS:
         if fmt == _WEEKDAY_FORMAT:
             # The weekday letter pattern raises even inside try_to_timestamp:
-            # check the shape, drop the weekday and parse the rest.
+            # drop the weekday and parse the rest.
             rest = F.regexp_replace(s, r"^[A-Z][a-z]{2} ", "")
-            parsed.append(F.when(s.rlike(_WEEKDAY_SHAPE),
-                                 F.try_to_timestamp(rest, F.lit("MMM dd HH:mm:ss yyyy"))))
+            cond, val = s.rlike(_WEEKDAY_SHAPE), F.try_to_timestamp(rest, F.lit("MMM dd HH:mm:ss yyyy"))
         else:
-            parsed.append(F.try_to_timestamp(s, F.lit(fmt)))
-    parsed.append(s.try_cast("timestamp"))
-    return F.date_trunc("second", F.coalesce(*parsed))
+            cond, val = s.rlike(_SHAPES[fmt]), F.try_to_timestamp(s, F.lit(fmt))
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    out = out.otherwise(s.try_cast("timestamp"))  # lenient ISO-8601 fallback
+    return F.date_trunc("second", out)
 
 
 def ts_render(ts) -> Column:
@@ -68,10 +111,17 @@ def date_only(ts) -> Column:
     return F.to_date(_col(ts))
 
 
+def duration_minutes_sql(a: str, b: str) -> str:
+    secs = f"(unix_timestamp({ts_parse_sql(b)}) - unix_timestamp({ts_parse_sql(a)}))"
+    return f"CAST({secs} / 60 AS BIGINT)"  # truncates toward zero
+
+
 def duration_minutes(start, end) -> Column:
     """Whole minutes between two export timestamps, truncated toward zero."""
+    if isinstance(start, str) and isinstance(end, str):
+        return F.expr(duration_minutes_sql(_name(start), _name(end)))
     secs = F.unix_timestamp(ts_parse(end)) - F.unix_timestamp(ts_parse(start))
-    return ((secs - secs % 60) / 60).cast("bigint")
+    return (secs / 60).cast("bigint")  # truncates toward zero
 
 
 def ts_is_valid_format(c) -> Column:

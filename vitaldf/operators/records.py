@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vitaldf.functions import (blank_to_null, json_raw, metric_map, null_location,
                                string_map, ts_now, ts_parse)
+from vitaldf.functions.timestamps import ts_parse_sql
 from vitaldf.schema import PRE_RECORD, RECORD, REJECT
 
 META_COLS = ("origin", "occurrence")
@@ -64,7 +65,7 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
         ts_text.cast("string").alias("ts_text"),
         metric_map(metrics or {}).alias("metrics"),
         string_map(attrs or {}).alias("attrs"),
-        string_map(times or {}).alias("times_text"),
+        F.map_filter(string_map(times or {}), lambda k, v: F.trim(v) != "").alias("times_text"),
         (symptoms if symptoms is not None
          else F.lit(None).cast("array<string>")).alias("symptoms"),
         (loc if loc is not None else null_location()).alias("location"),
@@ -92,18 +93,21 @@ def finalize(pre: DataFrame) -> DataFrame:
 
     Output = RECORD columns + ``ts_text`` + ``reason`` (NULL for valid rows).
     """
-    ts = ts_parse(F.col("ts_text"))
-    bad_time = F.exists(
-        F.map_values(F.col("times_text")),
-        lambda v: blank_to_null(v).isNotNull() & ts_parse(v).isNull())
+    # parse once, in its own projection; everything below reads the results
+    parsed = pre.withColumns({
+        "__ts": ts_parse("ts_text"),
+        "__times": F.expr(f"transform_values(times_text, (k, v) -> {ts_parse_sql('v')})"),
+    })
+    ts = F.col("__ts")
+    # a time field holding text that is not a timestamp rejects the row
+    bad_time = F.exists(F.map_entries(F.col("__times")), lambda e: e["value"].isNull())
     reason = (F.when(blank_to_null(F.col("ts_text")).isNull(),
                      F.lit("Missing required field: timestamp"))
               .when(ts.isNull(), F.concat(F.lit("Unable to parse date: "), F.col("ts_text")))
               .when(F.coalesce(bad_time, F.lit(False)),
                     F.lit("Unable to parse date in time field")))
-    times = F.map_filter(F.transform_values(F.col("times_text"), lambda k, v: ts_parse(v)),
-                         lambda k, v: v.isNotNull())
-    return pre.select(
+    times = F.col("__times")
+    return parsed.select(
         record_id(F.col("source"), F.col("origin"), F.col("sub_type"), F.col("ts_text"),
                   F.col("raw_data"), F.col("occurrence")).alias("id"),
         ts.alias("timestamp"),

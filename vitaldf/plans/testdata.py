@@ -131,10 +131,13 @@ def steps_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- vitals ---
 
-def _events(d: Dialect, kind: str, event_type: str, cols: str) -> str:
+def _events(d: Dialect, kind: str, event_type: str, cols: str, bad_every: int = 0) -> str:
+    time = d.fmt("ts", "ymd-hms")
+    if bad_every:  # an impossible calendar date every n-th event -> reject
+        time = f"CASE WHEN event_id % {bad_every} = 0 THEN '2024-02-31-10:00:00' ELSE {time} END"
     return f"""
     SELECT 'gyroscope-u' || {d.s('user_id % 5')} || '-{kind}-export.csv' AS origin,
-           {d.fmt('ts', 'ymd-hms')} AS time, {cols}
+           {time} AS time, {cols}
     FROM events WHERE event_type = '{event_type}'"""
 
 
@@ -145,7 +148,7 @@ def vitals_sql(d: Dialect) -> dict[str, str]:
         "bp": _events(d, "bp", "error", f"""
             {d.s('90 + ' + d.i('value') + ' % 60')} AS systolic,
             CASE WHEN event_id % 7 = 0 THEN '0' ELSE {d.s('60 + user_id % 30')} END AS diastolic,
-            {svc}"""),
+            {svc}""", bad_every=97),
         "glucose": _events(d, "glucose", "click", f"""
             CASE WHEN event_id % 11 = 0 THEN ''
                  WHEN event_id % 4 = 0 THEN {v} || ' mg/dL' ELSE {v} END AS glucose, {svc}"""),
@@ -496,3 +499,139 @@ def raw_storyline(spark: SparkSession) -> DataFrame:
     return g.select(
         F.lit("moves_export/json/full/storyline.json").alias("origin"),
         F.transform("segs", lambda s: s.dropFields("turn")).alias("segments"))
+
+
+# ------------------------------------------------------- more layouts -------
+
+def workouts_sql(d: Dialect) -> str:
+    """Activity-app workout files (workouts / running / cycling); every 40th
+    row has no start time and must be rejected."""
+    start = d.add_s("o_orderdate", "(o_orderkey * 11) % 86400")
+    end = d.add_s(start, "300 + o_orderkey % 5000")
+    return f"""
+    SELECT 'gyroscope-u' || {d.s('o_custkey % 3')} || '-' ||
+             CASE o_orderkey % 3 WHEN 0 THEN 'workouts' WHEN 1 THEN 'running' ELSE 'cycling' END ||
+             '-export.csv' AS origin,
+           {d.s('o_orderkey')} AS id,
+           CASE WHEN o_orderkey % 40 = 3 THEN '' ELSE {d.fmt(start, 'ymd-hms')} END AS start_time,
+           {d.fmt(end, 'ymd-hms')} AS end_time,
+           CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS type,
+           CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'session ' || {d.s('o_orderkey % 97')} END AS name,
+           'gyroscope' AS service,
+           CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE {d.s(d.i('o_totalprice / 100'))} END AS calories
+    FROM orders WHERE o_orderkey % 4 = 3"""
+
+
+def gyro_sleep_sql(d: Dialect) -> str:
+    start = d.add_s("o_orderdate", "(o_orderkey * 7919) % 86400")
+    end = d.add_s(start, "3600 + (o_orderkey * 104729) % 36000")
+    return f"""
+    SELECT 'gyroscope-u' || {d.s('o_custkey % 3')} || '-sleep-export.csv' AS origin,
+           {d.fmt(start, 'ymd-hms')} AS start_time,
+           {d.fmt(end, 'ymd-hms')} AS end_time,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'healthkit' ELSE 'manual' END AS service
+    FROM orders WHERE o_orderkey % 5 = 4"""
+
+
+def sleep_generic_sql(d: Dialect) -> str:
+    """A layout the sleep reader does not know: any date column + numbers."""
+    return f"""
+    SELECT 'sleep_log.csv' AS origin,
+           CASE WHEN c_custkey % 25 = 0 THEN '' ELSE
+             '2021-' || lpad({d.s('c_custkey % 12 + 1')}, 2, '0') || '-' ||
+             lpad({d.s('c_nationkey + 1')}, 2, '0') END AS "Night Date",
+           {d.s('4 + c_custkey % 6')} || 'h' AS "Hours Slept",
+           '0.' || {d.s('c_custkey % 10')} AS "Score %",
+           c_mktsegment AS "Mood"
+    FROM customer"""
+
+
+def moves_storyline_csv_sql(d: Dialect) -> str:
+    start = d.add_s("o_orderdate", "(o_orderkey * 29) % 86400")
+    kind = "o_orderkey % 3"
+    return f"""
+    SELECT 'moves_export/csv/full/storyline.csv' AS origin,
+           {d.fmt('o_orderdate', 'ymd')} AS "Date",
+           CASE WHEN {kind} = 0 THEN 'walking' ELSE '' END AS "Activity",
+           CASE WHEN {kind} = 0 THEN 'walking' ELSE '' END AS "Group",
+           CASE WHEN {kind} = 1 THEN 'Stop ' || {d.s('o_custkey % 50')} ELSE '' END AS "Name",
+           CASE WHEN {kind} = 1 THEN {d.s('o_custkey % 80')} || '.5' ELSE '' END AS "Latitude",
+           CASE WHEN {kind} = 1 THEN {d.s('o_custkey % 100')} || '.5' ELSE '' END AS "Longitude",
+           CASE WHEN o_orderkey % 25 = 0 THEN '' ELSE {d.fmt(start, 'ymd_hms')} END AS "Start",
+           {d.fmt(d.add_s(start, '900'), 'ymd_hms')} AS "End",
+           '900' AS "Duration"
+    FROM orders WHERE o_orderkey % 8 = 5"""
+
+
+def moves_summary_sql(d: Dialect) -> str:
+    return f"""
+    SELECT 'moves_export/csv/full/summary.csv' AS origin,
+           {d.fmt('l_shipdate', 'ymd')} AS "Date",
+           {d.s(d.i('l_quantity * 100'))} AS "Steps",
+           {d.s(d.i('l_quantity'))} || '.5' AS "Distance",
+           CASE WHEN l_linenumber = 2 THEN '' ELSE {d.s(d.i('l_extendedprice / 100'))} END AS "Calories",
+           {d.s('l_linenumber * 600')} AS "Duration"
+    FROM lineitem WHERE l_linenumber = 1 OR l_linenumber = 2"""
+
+
+def moves_places_json_sql(d: Dialect) -> str:
+    start = d.add_s("timestamp '2016-06-01 00:00:00'", "c_custkey * 1800")
+    return f"""
+    SELECT 'moves_export/json/full/places.json' AS origin,
+           {d.fmt(start, 'ymd_hms')} AS "startTime",
+           CASE WHEN c_custkey % 3 = 0 THEN '' ELSE {d.fmt(d.add_s(start, '1200'), 'ymd_hms')} END AS "endTime",
+           c_name AS place_name, c_mktsegment AS place_type,
+           CAST(c_nationkey AS DOUBLE) + 0.5 AS lat,
+           CAST(c_custkey % 180 AS DOUBLE) - 0.5 AS lon
+    FROM customer"""
+
+
+def raw_workouts(spark):
+    return raw(spark, workouts_sql(SPARK))
+
+
+def raw_gyro_sleep(spark):
+    return raw(spark, gyro_sleep_sql(SPARK))
+
+
+def raw_sleep_generic(spark):
+    return raw(spark, sleep_generic_sql(SPARK))
+
+
+def raw_moves_storyline_csv(spark):
+    return raw(spark, moves_storyline_csv_sql(SPARK))
+
+
+def raw_moves_summary(spark):
+    return raw(spark, moves_summary_sql(SPARK))
+
+
+def raw_moves_places_json(spark):
+    """places.json items: {startTime, endTime, place{name, type, location{lat, lon}}}."""
+    flat = raw(spark, moves_places_json_sql(SPARK))
+    return flat.select(
+        "origin", "startTime", F.when(F.col("endTime") != "", F.col("endTime")).alias("endTime"),
+        F.struct(F.col("place_name").alias("name"), F.col("place_type").alias("type"),
+                 F.struct(F.col("lat").alias("lat"), F.col("lon").alias("lon")).alias("location")
+                 ).alias("place"))
+
+
+def raw_moves_json_activity_items(spark):
+    df = raw_moves_json_activities(spark)
+    return df.select("origin", "startTime", "endTime",
+                     F.when(F.col("activity") != "", F.col("activity")).alias("activity"),
+                     "duration", "distance")
+
+
+def moves_generic_sql(d: Dialect) -> str:
+    """A movement-app CSV whose name maps to no known kind."""
+    return f"""
+    SELECT 'moves_export/csv/full/daily.csv' AS origin,
+           CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE
+             '2015-01-' || lpad({d.s('n_nationkey + 1')}, 2, '0') END AS "Day Start",
+           n_name AS "Label"
+    FROM nation"""
+
+
+def raw_moves_generic(spark):
+    return raw(spark, moves_generic_sql(SPARK))

@@ -59,6 +59,7 @@ def with_attributes(elements: DataFrame) -> DataFrame:
 def normalize(elements: DataFrame) -> DataFrame:
     """Elements (origin, tag, line | attrs) -> pre-records of mapped types."""
     df = with_attributes(with_occurrence(elements))
+    df = df.withColumns({"__start": _a("startDate"), "__end": _a("endDate")})
     return union_all([record_rows(df), workout_rows(df)])
 
 
@@ -83,7 +84,7 @@ def record_rows(df: DataFrame) -> DataFrame:
     has_value = _a("value").isNotNull() & ~is_sleep
     key = V.lookup(APPLE_METRIC_KEYS, rtype, "metric_value")
     ranged = end.isNotNull() & (end != F.coalesce(start, F.lit("")))
-    minutes = V.duration_minutes(start, end)
+    minutes = V.duration_minutes("__start", "__end")
     metrics = {k: V.metric_when(has_value & (key == k), value, unit, conf)
                for k in sorted(set(APPLE_METRIC_KEYS.values()) | {"metric_value"})}
     metrics["duration"] = V.metric_when(ranged & ~is_sleep, minutes, "minutes", 0.9)
@@ -115,7 +116,8 @@ def workout_rows(df: DataFrame) -> DataFrame:
                                V.metric(V.float_prefix(dur),
                                         F.coalesce(V.blank_to_null(_a("durationUnit")),
                                                    F.lit("minutes")), 0.9))
-                         .when(computed, V.metric(V.duration_minutes(start, end), "minutes", 0.9)),
+                         .when(computed, V.metric(V.duration_minutes("__start", "__end"),
+                                                  "minutes", 0.9)),
             "calories": V.metric_when(energy.isNotNull(), V.float_prefix(energy),
                                       F.coalesce(V.blank_to_null(_a("totalEnergyBurnedUnit")),
                                                  F.lit("calories")), 0.8),

@@ -26,6 +26,12 @@ def normalize(raw: DataFrame) -> DataFrame:
     def c(name):
         return V.col_or_null(cols, name)
 
+    def dur(a, b):
+        """Minutes between two header columns (NULL when one is absent)."""
+        if a in cols and b in cols:
+            return V.duration_minutes(a, b)
+        return F.lit(None).cast("bigint")
+
     def nb(name):
         return V.blank_to_null(c(name))
 
@@ -39,9 +45,10 @@ def normalize(raw: DataFrame) -> DataFrame:
 
     # workouts / sleep read start_time/end_time; "Start Time" headers are used
     # where start_time is absent (visits and some workout exports).
-    start = V.coalesce_nonblank(c("start_time"), c("Start Time"))
-    end = V.coalesce_nonblank(c("end_time"), c("End Time"))
-    minutes = V.duration_minutes(start, end)
+    df = df.withColumns({"__start": V.coalesce_nonblank(c("start_time"), c("Start Time")),
+                         "__end": V.coalesce_nonblank(c("end_time"), c("End Time"))})
+    start, end = F.col("__start"), F.col("__end")
+    minutes = V.duration_minutes("__start", "__end")
 
     systolic = V.float_prefix(nb("systolic"))
     diastolic = V.float_prefix(nb("diastolic"))
@@ -53,8 +60,7 @@ def normalize(raw: DataFrame) -> DataFrame:
     metrics = {
         "steps": V.metric_when(route == "steps", V.or_default(V.int_prefix(c("steps")), 0),
                                "steps", V.confidence_service(c("service"))),
-        "sleep_duration": V.metric_when(route == "sleep",
-                                        V.duration_minutes(c("start_time"), c("end_time")),
+        "sleep_duration": V.metric_when(route == "sleep", dur("start_time", "end_time"),
                                         "minutes", 0.8),
         "duration": V.metric_when(route == "workout", minutes, "minutes", 0.8),
         "calories": V.metric_when((route == "workout") & nb("calories").isNotNull(),
@@ -68,8 +74,7 @@ def normalize(raw: DataFrame) -> DataFrame:
             V.float_prefix(c("hrv")), "ms", 0.8),
         "resting_heart_rate": V.metric_when(is_health & (sub == "rhr") & rhr_text.isNotNull(),
                                             V.float_prefix(rhr_text), "bpm", 0.8),
-        "visit_duration": V.metric_when(is_health & visit_ok,
-                                        V.duration_minutes(c("Start Time"), c("End Time")),
+        "visit_duration": V.metric_when(is_health & visit_ok, dur("Start Time", "End Time"),
                                         "minutes", 0.8),
     }
     attrs = {

@@ -114,7 +114,7 @@ def explode_minutes(df: DataFrame) -> DataFrame:
 def minute_records(df: DataFrame) -> DataFrame:
     v = explode_minutes(df)
     t = F.col("__type")
-    ts = V.ts_render(V.ts_add_minutes(V.ts_parse(F.col("__base")), F.col("__offset")))
+    ts = V.ts_render(V.ts_add_minutes(V.ts_parse("__base"), F.col("__offset")))
     ival = V.int_prefix(F.col("__val"))
     return v.select(*pre_record(
         SOURCE, "fitness", F.concat(F.lit("minute_"), F.coalesce(t, F.lit("undefined"))), ts,

@@ -62,7 +62,7 @@ def normalize(raw: DataFrame, fmt: str | None = None) -> DataFrame:
         if start_f is None or end_f is None:
             return df.limit(0).select(*pre_record(SOURCE, "sleep", "sleep_session", F.lit(None)))
         start, end = c(start_f), c(end_f)
-        metrics = {"sleep_duration": V.metric(V.duration_minutes(start, end), "minutes", 0.8)}
+        metrics = {"sleep_duration": V.metric(V.duration_minutes(start_f, end_f), "minutes", 0.8)}
         attrs = {}
         if fmt == "quality":
             q = V.blank_to_null(c(first(["Sleep quality", "quality", "Quality"])))
