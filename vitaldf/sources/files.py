@@ -98,14 +98,16 @@ def sniff_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("pos"))
              .filter(F.col("block") == 0))
-    first = lines.groupBy("path").agg(F.min_by("value", "pos").alias("header"))
+    first = lines.groupBy("path").agg(
+        F.min_by("value", "pos").alias("header"),
+        # text that did not decode as UTF-8 shows replacement characters
+        F.max((~F.is_valid_utf8("value")).cast("int")).alias("__bad"))
     semi = F.length(F.col("header")) - F.length(F.replace(F.col("header"), F.lit(";"), F.lit("")))
     comma = F.length(F.col("header")) - F.length(F.replace(F.col("header"), F.lit(","), F.lit("")))
     return first.withColumns({
         "delimiter": F.when(semi > comma, F.lit(";")).otherwise(F.lit(",")),
-        "encoding": F.when(F.col("header").contains("�"), F.lit("ISO-8859-1"))
-                     .otherwise(F.lit("UTF-8")),
-    })
+        "encoding": F.when(F.col("__bad") == 1, F.lit("ISO-8859-1")).otherwise(F.lit("UTF-8")),
+    }).drop("__bad")
 
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str, str], list[str]]:

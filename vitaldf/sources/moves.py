@@ -205,10 +205,15 @@ def normalize_csv(raw: DataFrame, kind: str) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON ------
 
-def read_json(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
-    """Top-level JSON arrays -> one raw row per element (+ ``origin``)."""
+def read_json(spark: SparkSession, paths: list[str], kind: str, multi_line: bool = True
+              ) -> DataFrame:
+    """Top-level JSON arrays -> one raw row per element (+ ``origin``).
+
+    ``multi_line=False`` reads JSON-lines files (one item per line), which
+    Spark can split across tasks.
+    """
     schema = JSON_SCHEMAS.get(kind)
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     reader = reader.schema(schema) if schema is not None else reader
     return reader.json(paths).withColumn("origin", F.col("_metadata.file_path"))
 

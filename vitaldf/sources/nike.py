@@ -50,6 +50,14 @@ def read(spark: SparkSession, paths: list[str]) -> DataFrame:
     return df.filter(~skip_file(V.file_name(F.col("origin"))))
 
 
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """JSON-lines bundles: one document per line; a line may carry the name
+    of the file it was exported as in ``origin`` (else the bundle path)."""
+    schema = T.StructType(DOC_SCHEMA.fields + [T.StructField("origin", T.StringType())])
+    df = spark.read.schema(schema).json(paths)
+    return df.withColumn("origin", F.coalesce(F.col("origin"), F.col("_metadata.file_path")))
+
+
 def _truthy(x) -> F.Column:
     return x.isNotNull() & (x != 0)
 
