@@ -73,8 +73,7 @@ def xml_attributes(c) -> Column:
 
 
 def json_raw(cols: Sequence[str]) -> Column:
-    """The original row as JSON text; missing values kept as null."""
+    """The original row as JSON text (fields the row's file lacks are left out)."""
     if not cols:
         return F.lit("{}")
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]),
-                     {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]))

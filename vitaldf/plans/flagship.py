@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaldf.operators import query as QY
-from vitaldf.operators import tables as TB
 from vitaldf.operators.records import build_records
 from vitaldf.plans import testdata as TD
 from vitaldf.plans.registry import prepare
@@ -24,11 +23,13 @@ def flagship(spark: SparkSession, sf_dir: str, start: str = START, end: str = EN
              limit: int = 100) -> DataFrame:
     prepare(spark, sf_dir)
     records = build_records(gyroscope.normalize(TD.raw_steps(spark)))
-    parent = TB.map_health_records(records)
-    fitness = TB.map_fitness(records).select("record_id", "steps", "steps_unit", "steps_confidence")
-    listed = QY.query_records(parent, start, end, source="gyroscope", data_type="fitness",
+    # parent and fitness columns are projections of the same records: one
+    # scan, the predicates applied before the top-N (TakeOrderedAndProject)
+    listed = QY.query_records(records, start, end, source="gyroscope", data_type="fitness",
                               limit=limit)
-    return (listed.join(fitness, listed.id == fitness.record_id, "left")
-            .select(F.date_format("timestamp", "MM/dd/yyyy HH:mm:ss").alias("timestamp"),
-                    "source", "data_type", "sub_type", "steps", "steps_unit", "steps_confidence")
-            .orderBy(F.col("timestamp").desc()))
+    return listed.select(
+        F.date_format("timestamp", "MM/dd/yyyy HH:mm:ss").alias("timestamp"),
+        "source", "data_type", "sub_type",
+        F.col("metrics")["steps"]["value"].alias("steps"),
+        F.coalesce(F.col("metrics")["steps"]["unit"], F.lit("steps")).alias("steps_unit"),
+        F.col("metrics")["steps"]["confidence"].alias("steps_confidence"))

@@ -38,7 +38,7 @@ def _gyro_core_sql():
 
 @q("norm_gyro_route", _gyro_core_sql)
 def norm_gyro_route(spark):
-    return recs(spark, *GYRO).select("origin", "sub_type", "data_type", _ts())
+    return recs(spark, "gyro_all").select("origin", "sub_type", "data_type", _ts())
 
 
 @q("norm_gyro_steps", lambda: f"""

@@ -339,44 +339,61 @@ def exists_any(spark):
 
 # ------------------------------------------------------------------ joins --
 
-REPORT_LAYOUTS = ("gyro_steps", "gyro_workouts", "gyro_vitals", "sleep_quality", "habits",
-                  "manual_migraine")
 REPORT_RANGE = ("1995-06-01", "1995-12-31")
+_REPORT_COLS = ["steps", "calories", "distance", "workout_type", "heart_rate", "systolic_bp",
+                "diastolic_bp", "glucose", "sleep_duration_minutes", "sleep_quality", "habit_name",
+                "streak_days", "condition", "severity_score"]
+_STR = {"workout_type", "habit_name", "condition"}
+
+
+def _report_row(sql: str, **cols) -> str:
+    vals = []
+    for c in _REPORT_COLS:
+        if c in cols:
+            vals.append(f"{cols[c]} AS {c}")
+        elif c in _STR:
+            vals.append(f"NULL::VARCHAR AS {c}")
+        elif c == "streak_days":
+            vals.append(f"NULL::BIGINT AS {c}")
+        else:
+            vals.append(f"NULL::DOUBLE AS {c}")
+    return f"SELECT ts, source, data_type, sub_type, {', '.join(vals)} FROM ({ok(sql)}) t"
 
 
 def _report_sql(cols: str = "*") -> str:
-    n, s = "NULL::DOUBLE", "NULL::VARCHAR"
+    mins = ("CASE WHEN metric_type = 'steps' THEN value END",
+            "CASE WHEN metric_type = 'calories' THEN value END")
     parts = [
-        f"SELECT ts, source, data_type, sub_type, steps, {n} AS calories, {n} AS distance, "
-        f"{s} AS workout_type, {s} AS sleep_src FROM ({ok(O.o_gyro_steps())}) t",
-        f"SELECT ts, source, data_type, sub_type, {n}, calories, {n}, workout_type, {s} "
-        f"FROM ({ok(O.o_gyro_workouts())}) t",
+        _report_row(O.o_gyro_steps(), steps="steps"),
+        _report_row(O.o_gyro_workouts(), calories="calories", workout_type="workout_type"),
+        _report_row(O.o_gyro_visits()),
+        _report_row(O.o_gyro_vitals(), systolic_bp="systolic", diastolic_bp="diastolic",
+                    glucose="glucose"),
+        _report_row(O.o_gyro_sleep(), sleep_duration_minutes="CAST(sleep_duration AS DOUBLE)"),
+        _report_row(O.o_sleep_quality(), sleep_duration_minutes="CAST(sleep_duration AS DOUBLE)",
+                    sleep_quality="sleep_quality"),
+        _report_row(O.o_sleep_simple(), sleep_duration_minutes="CAST(sleep_duration AS DOUBLE)"),
+        _report_row(O.o_sleep_detailed(), sleep_duration_minutes="sleep_duration"),
+        _report_row(O.o_sleep_generic()),
+        _report_row(O.o_habits(), habit_name="habit_name", streak_days="CAST(streak_days AS BIGINT)"),
+        _report_row(O.o_moves_activities(), steps="steps", calories="calories", distance="distance"),
+        _report_row(O.o_moves_storyline_csv()),
+        _report_row(O.o_moves_summary(), steps="steps", calories="calories", distance="distance"),
+        _report_row(O.o_nike_summary(), steps="steps", calories="calories", distance="distance"),
+        _report_row(O.o_nike_minutes(), steps=mins[0], calories=mins[1]),
     ]
-    fit = " UNION ALL ".join(parts)
-    base = f"""
-      SELECT ts, source, data_type, sub_type, steps, calories, distance, workout_type,
-             {n} AS heart_rate, {n} AS systolic_bp, {n} AS diastolic_bp, {n} AS glucose,
-             {n} AS sleep_duration_minutes, {n} AS sleep_quality, {s} AS habit_name,
-             NULL::BIGINT AS streak_days, {s} AS condition, {n} AS severity_score FROM ({fit}) f
-      UNION ALL
-      SELECT ts, source, data_type, sub_type, {n}, {n}, {n}, {s}, {n}, systolic, diastolic, glucose,
-             {n}, {n}, {s}, NULL::BIGINT, {s}, {n} FROM ({ok(O.o_gyro_vitals())}) v
-      UNION ALL
-      SELECT ts, source, data_type, sub_type, {n}, {n}, {n}, {s}, {n}, {n}, {n}, {n},
-             CAST(sleep_duration AS DOUBLE), sleep_quality, {s}, NULL::BIGINT, {s}, {n}
-      FROM ({ok(O.o_sleep_quality())}) q
-      UNION ALL
-      SELECT ts, source, data_type, sub_type, {n}, {n}, {n}, {s}, {n}, {n}, {n}, {n}, {n}, {n},
-             habit_name, CAST(streak_days AS BIGINT), {s}, {n} FROM ({ok(O.o_habits())}) h
-      UNION ALL
-      SELECT ts, source, data_type, sub_type, {n}, {n}, {n}, {s}, {n}, {n}, {n}, {n}, {n}, {n},
-             {s}, NULL::BIGINT, 'migraine', severity_score FROM ({ok(O.o_manual()['migraine'])}) m"""
+    base = " UNION ALL ".join(parts)
     return f"""SELECT {cols} FROM (SELECT {R('ts')} AS timestamp, * EXCLUDE (ts) FROM ({base}) b
                WHERE CAST(ts AS DATE) BETWEEN DATE '{REPORT_RANGE[0]}' AND DATE '{REPORT_RANGE[1]}') r"""
 
 
 def _report(spark, ordered=True) -> DataFrame:
-    t = TB.route_records(recs(spark, *REPORT_LAYOUTS))
+    """The date-range report over the stored tables.
+
+    Each detail table is a projection of the stored records filtered by
+    data type, i.e. a partition-pruned scan of its own slice.
+    """
+    t = TB.route_records(recs(spark))
     rep = QY.join_report(t, *REPORT_RANGE, ordered=ordered)
     cols = [c for cols in QY.REPORT_COLUMNS.values() for c in cols]
     return rep.select(ts_out().alias("timestamp"), "source", "data_type", "sub_type", *cols)

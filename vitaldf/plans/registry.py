@@ -47,11 +47,14 @@ def _memo(kind: str, spark: SparkSession, names: tuple, build):
 
 LAYOUTS: dict[str, Callable[[SparkSession], DataFrame]] = {
     "gyro_steps": lambda s: gyroscope.normalize(TD.raw_steps(s)),
-    "gyro_vitals": lambda s: reduce(DataFrame.unionByName,
-                                    [gyroscope.normalize(d) for d in TD.raw_vitals(s).values()]),
+    "gyro_vitals": lambda s: gyroscope.normalize(gyroscope.union_raw(list(TD.raw_vitals(s).values()))),
     "gyro_visits": lambda s: gyroscope.normalize(TD.raw_visits(s)),
     "gyro_workouts": lambda s: gyroscope.normalize(TD.raw_workouts(s)),
     "gyro_sleep": lambda s: gyroscope.normalize(TD.raw_gyro_sleep(s)),
+    # every activity-app layout through one plan (how the file pipeline reads them)
+    "gyro_all": lambda s: gyroscope.normalize(gyroscope.union_raw(
+        [TD.raw_steps(s), *TD.raw_vitals(s).values(), TD.raw_visits(s), TD.raw_workouts(s),
+         TD.raw_gyro_sleep(s)])),
     "sleep_quality": lambda s: sleep.normalize(TD.raw_sleep(s)["quality"]),
     "sleep_simple": lambda s: sleep.normalize(TD.raw_sleep(s)["simple"]),
     "sleep_detailed": lambda s: sleep.normalize(TD.raw_sleep(s)["detailed"]),
@@ -78,8 +81,11 @@ MANUAL = [k for k in LAYOUTS if k.startswith("manual_")]
 MOVES = [k for k in LAYOUTS if k.startswith("moves_")]
 
 
+ALL_LAYOUTS = tuple(k for k in LAYOUTS if not k.startswith("gyro_")) + ("gyro_all",)
+
+
 def pre(spark: SparkSession, *names: str) -> DataFrame:
-    names = names or tuple(LAYOUTS)
+    names = names or ALL_LAYOUTS
     return _memo("pre", spark, names, lambda: reduce(
         DataFrame.unionByName, [_memo("layout", spark, (n,), lambda n=n: LAYOUTS[n](spark))
                                 for n in names]))

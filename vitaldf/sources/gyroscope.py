@@ -18,6 +18,19 @@ SOURCE = "gyroscope"
 WORKOUT_TYPES = ("workouts", "running", "cycling")
 
 
+def union_raw(frames: list[DataFrame]) -> DataFrame:
+    """Bag union of activity-app files with different headers.
+
+    Every header-level choice here is either value-level (first non-blank
+    of the timestamp columns) or needs both columns present, so files of all
+    types can share one plan: a missing column reads as NULL.
+    """
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def normalize(raw: DataFrame) -> DataFrame:
     """Raw rows (header columns + ``origin``) -> pre-records."""
     cols = header_cols(raw)
