@@ -36,8 +36,13 @@ def inventory_columns(df: DataFrame) -> DataFrame:
     return out.filter(~F.col("ext").isin(*ARCHIVE_EXTENSIONS) & ~F.col("path").contains(".zip"))
 
 
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
 def _strip(root: str) -> str:
-    return root.rstrip("/")
+    """Root folder without a URI scheme/authority or trailing slash."""
+    import re
+    return re.sub(_SCHEME, "", root).rstrip("/")
 
 
 def _ends_dir(d: Column, suffix: str) -> Column:
@@ -52,7 +57,7 @@ def discovery_rules(root_dir: Column | None = None) -> list[tuple[str, Column]]:
     """
     name, ext, d, dn = F.col("name"), F.col("ext"), F.col("dir"), F.col("dir_name")
     lname = F.lower(name)
-    top = (d == root_dir) if root_dir is not None else F.lit(True)
+    top = (F.regexp_replace(d, _SCHEME, "") == root_dir) if root_dir is not None else F.lit(True)
     manual_kw = None
     for kw in MANUAL_FILE_KEYWORDS:
         c = lname.contains(kw)
