@@ -70,12 +70,22 @@ def join_report(tables: dict[str, DataFrame], start=None, end=None,
     sort-merge); AQE re-plans with runtime sizes.
     """
     out = filter_date_range(tables["health_records"], start, end)
+    # (callers that derive the tables from records can filter the records by
+    # date first — see report_from_records — so every join input shrinks)
     for name, cols in REPORT_COLUMNS.items():
         child = tables[name].select(F.col("record_id").alias("id"), *cols)
         out = out.join(child, "id", "left")
     return out.orderBy("timestamp", "id") if ordered else out
 
 
+def report_from_records(records: DataFrame, start=None, end=None, ordered: bool = True) -> DataFrame:
+    """The report built from health records: the date filter is applied to
+    the records before they are routed into the tables, so the detail sides
+    of the joins only hold in-range rows (same result, smaller joins)."""
+    from vitaldf.operators.tables import route_records
+    return join_report(route_records(filter_date_range(records, start, end)), start, end, ordered)
+
+
 def sort_report(df: DataFrame) -> DataFrame:
     return df.orderBy("timestamp", "id")
 
@@ -89,11 +99,20 @@ def exists_any(records: DataFrame) -> bool:
     return not records.isEmpty()
 
 
-def sample_first_n(df: DataFrame, group_cols, order_cols, n: int = 5) -> DataFrame:
-    """First ``n`` rows per group in the given order (a sampling operator)."""
+def sample_first_n(df: DataFrame, group_cols, order_cols, n: int = 5, salts: int = 64) -> DataFrame:
+    """First ``n`` rows per group in the given order (a sampling operator).
+
+    Two phases so that no task ever sorts a whole (possibly huge) group:
+    the top ``n`` of each of ``salts`` hash sub-groups first, then the top
+    ``n`` of those at most ``salts * n`` candidates per group.
+    """
     from pyspark.sql import Window
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in order_cols]), F.lit(salts))
+    w1 = Window.partitionBy(*group_cols, "__salt").orderBy(*order_cols)
+    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    first = (df.withColumn("__salt", salt).withColumn("__rn", F.row_number().over(w1))
+             .filter(F.col("__rn") <= n).drop("__rn", "__salt"))
+    return first.withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= n).drop("__rn")
 
 
 def orphans(child: DataFrame, parent: DataFrame) -> DataFrame:

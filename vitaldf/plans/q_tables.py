@@ -393,8 +393,7 @@ def _report(spark, ordered=True) -> DataFrame:
     Each detail table is a projection of the stored records filtered by
     data type, i.e. a partition-pruned scan of its own slice.
     """
-    t = TB.route_records(recs(spark))
-    rep = QY.join_report(t, *REPORT_RANGE, ordered=ordered)
+    rep = QY.report_from_records(recs(spark), *REPORT_RANGE, ordered=ordered)
     cols = [c for cols in QY.REPORT_COLUMNS.values() for c in cols]
     return rep.select(ts_out().alias("timestamp"), "source", "data_type", "sub_type", *cols)
 

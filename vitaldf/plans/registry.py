@@ -100,7 +100,7 @@ def _store_all(spark: SparkSession) -> DataFrame:
     normalisation pipelines — and survive executor loss without recompute.
     """
     path = shared_dir(spark, "records")
-    (finalize(pre(spark)).repartition("source", "data_type").write
+    (finalize(pre(spark)).hint("rebalance", "source", "data_type").write
      .partitionBy("source", "data_type").parquet(path))
     return spark.read.parquet(path)
 

@@ -139,7 +139,7 @@ def scan_text_lines(spark: SparkSession, paths) -> DataFrame:
             .withColumn("origin", F.col("_metadata.file_path")))
 
 
-def file_checksum(spark: SparkSession, paths, whole_file_limit: int = 1 << 30) -> DataFrame:
+def file_checksum(spark: SparkSession, paths, whole_file_limit: int = 128 << 20) -> DataFrame:
     """(path, checksum) per file.
 
     Files up to ``whole_file_limit`` bytes: MD5 of the content.  Larger
