@@ -7,7 +7,7 @@ from vitaldf.functions.lookups import (  # noqa: F401
     severity_score, subtype_apple, unit_infer_sleep, unit_map_apple, weight_unit,
 )
 from vitaldf.functions.metrics import (  # noqa: F401
-    attr, location, m, metric, metric_confidence, metric_map, metric_unit,
+    attr, barrier, location, m, metric, metric_confidence, metric_map, metric_unit,
     metric_value, metric_when, null_location, null_metric, string_map, time_of,
 )
 from vitaldf.functions.numbers import (  # noqa: F401

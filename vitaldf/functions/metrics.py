@@ -18,6 +18,17 @@ def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def barrier(c: Column) -> Column:
+    """``c`` unchanged, but the projection holding it is non-deterministic.
+
+    Catalyst neither pushes filters through nor inlines such a projection,
+    so an expensive column (a parse of the raw line) is computed once per
+    row instead of being copied into every downstream predicate.  The guard
+    is always true and cannot be folded by the optimiser.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def metric(value, unit, confidence=1.0) -> Column:
     """Build a metric struct; the value is a double (NULL = not a number)."""
     return F.struct(
@@ -35,24 +46,30 @@ def null_metric() -> Column:
     return F.lit(None).cast(METRIC)
 
 
-def metric_map(entries: Mapping[str, Column]) -> Column:
-    """name -> optional metric; entries that evaluate to NULL are left out."""
+def typed_map(entries: Mapping[str, Column], value_type: str) -> Column:
+    """name -> optional value; entries whose value is NULL are left out.
+
+    Built as ``map_concat`` of single-entry maps (compiled by whole-stage
+    codegen) rather than ``map_filter`` with a lambda (interpreted per row).
+    """
+    empty = F.create_map().cast(f"map<string,{value_type}>")
     if not entries:
-        return F.create_map().cast("map<string," + METRIC.simpleString() + ">")
-    kv = []
+        return empty
+    parts = []
     for k, v in entries.items():
-        kv += [F.lit(k), v.cast(METRIC)]
-    return F.map_filter(F.create_map(*kv), lambda k, v: v.isNotNull())
+        v = _lit(v).cast(value_type)
+        parts.append(F.when(v.isNotNull(), F.create_map(F.lit(k), v)).otherwise(empty))
+    return parts[0] if len(parts) == 1 else F.map_concat(*parts)
+
+
+def metric_map(entries: Mapping[str, Column]) -> Column:
+    """name -> optional metric; entries that evaluate to NULL are left out."""
+    return typed_map(entries, METRIC.simpleString())
 
 
 def string_map(entries: Mapping[str, Column]) -> Column:
     """name -> optional text; NULL values are left out."""
-    if not entries:
-        return F.create_map().cast("map<string,string>")
-    kv = []
-    for k, v in entries.items():
-        kv += [F.lit(k), _lit(v).cast("string")]
-    return F.map_filter(F.create_map(*kv), lambda k, v: v.isNotNull())
+    return typed_map(entries, "string")
 
 
 def location(name, latitude, longitude) -> Column:

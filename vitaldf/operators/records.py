@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitaldf.functions import (blank_to_null, json_raw, metric_map, null_location,
+from vitaldf.functions import (barrier, blank_to_null, json_raw, metric_map, null_location,
                                string_map, ts_now, ts_parse)
+from vitaldf.functions.metrics import typed_map
 from vitaldf.functions.timestamps import ts_parse_sql
 from vitaldf.schema import PRE_RECORD, RECORD, REJECT
 
@@ -65,7 +66,7 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
         ts_text.cast("string").alias("ts_text"),
         metric_map(metrics or {}).alias("metrics"),
         string_map(attrs or {}).alias("attrs"),
-        F.map_filter(string_map(times or {}), lambda k, v: F.trim(v) != "").alias("times_text"),
+        *_times_cols(times or {}),
         (symptoms if symptoms is not None
          else F.lit(None).cast("array<string>")).alias("symptoms"),
         (loc if loc is not None else null_location()).alias("location"),
@@ -73,6 +74,19 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
     ]
 
 
+def _times_cols(times: Mapping[str, Column]) -> list[Column]:
+    """Parsed time fields as a map, and whether any held non-timestamp text.
+
+    Each field is parsed by one expression shared by both columns (common
+    subexpression elimination evaluates it once per row).
+    """
+    parsed = {k: ts_parse(v) for k, v in times.items()}
+    bad = F.lit(False)
+    for k, v in times.items():
+        bad = bad | F.coalesce(blank_to_null(v).isNotNull() & parsed[k].isNull(), F.lit(False))
+    return [typed_map(parsed, "timestamp").alias("times"), bad.alias("bad_time")]
+
+
 def empty_pre_records(spark) -> DataFrame:
     return spark.createDataFrame([], PRE_RECORD)
 
@@ -94,19 +108,20 @@ def finalize(pre: DataFrame) -> DataFrame:
     Output = RECORD columns + ``ts_text`` + ``reason`` (NULL for valid rows).
     """
     # parse once, in its own projection; everything below reads the results
-    parsed = pre.withColumns({
-        "__ts": ts_parse("ts_text"),
-        "__times": F.expr(f"transform_values(times_text, (k, v) -> {ts_parse_sql('v')})"),
-    })
+    parsed = pre.withColumn("__ts", ts_parse("ts_text"))
     ts = F.col("__ts")
     # a time field holding text that is not a timestamp rejects the row
-    bad_time = F.exists(F.map_entries(F.col("__times")), lambda e: e["value"].isNull())
+    bad_time = F.col("bad_time")
     reason = (F.when(blank_to_null(F.col("ts_text")).isNull(),
                      F.lit("Missing required field: timestamp"))
               .when(ts.isNull(), F.concat(F.lit("Unable to parse date: "), F.col("ts_text")))
               .when(F.coalesce(bad_time, F.lit(False)),
                     F.lit("Unable to parse date in time field")))
-    times = F.col("__times")
+    # a filter on ``reason`` (valid / rejects) would otherwise be pushed below
+    # this projection with every alias substituted, copying the whole parse
+    # into each predicate
+    reason = barrier(reason)
+    times = F.col("times")
     return parsed.select(
         record_id(F.col("source"), F.col("origin"), F.col("sub_type"), F.col("ts_text"),
                   F.col("raw_data"), F.col("occurrence")).alias("id"),

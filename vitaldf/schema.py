@@ -26,7 +26,8 @@ PRE_RECORD = T.StructType([
     T.StructField("ts_text", T.StringType()),
     T.StructField("metrics", T.MapType(T.StringType(), METRIC)),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("times_text", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("times", T.MapType(T.StringType(), T.TimestampType())),
+    T.StructField("bad_time", T.BooleanType()),
     T.StructField("symptoms", T.ArrayType(T.StringType())),
     T.StructField("location", LOCATION),
     T.StructField("raw_data", T.StringType()),

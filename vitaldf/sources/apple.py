@@ -51,9 +51,14 @@ def sample(elements: DataFrame, every: int = 10, max_records: int | None = 50000
 
 
 def with_attributes(elements: DataFrame) -> DataFrame:
+    """Parse each element's attributes once.
+
+    The barrier keeps filters on attributes above this projection instead
+    of pushing them below with the regex copied into every predicate.
+    """
     if "attrs" in elements.columns:
         return elements
-    return elements.withColumn("attrs", V.xml_attributes(F.col("line")))
+    return elements.withColumn("attrs", V.barrier(V.xml_attributes(F.col("line"))))
 
 
 def normalize(elements: DataFrame) -> DataFrame:
