@@ -66,7 +66,8 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
         ts_text.cast("string").alias("ts_text"),
         metric_map(metrics or {}).alias("metrics"),
         string_map(attrs or {}).alias("attrs"),
-        *_times_cols(times or {}),
+        # blank text is left out; parsed once in finalize
+        string_map({k: blank_to_null(v) for k, v in (times or {}).items()}).alias("times_text"),
         (symptoms if symptoms is not None
          else F.lit(None).cast("array<string>")).alias("symptoms"),
         (loc if loc is not None else null_location()).alias("location"),
@@ -107,11 +108,15 @@ def finalize(pre: DataFrame) -> DataFrame:
 
     Output = RECORD columns + ``ts_text`` + ``reason`` (NULL for valid rows).
     """
-    # parse once, in its own projection; everything below reads the results
-    parsed = pre.withColumn("__ts", ts_parse("ts_text"))
+    # parse once, in its own projection (built as SQL text: one call into
+    # the JVM for the whole parser); everything below reads the results
+    parsed = pre.withColumns({
+        "__ts": ts_parse("ts_text"),
+        "__times": F.expr(f"transform_values(times_text, (k, v) -> {ts_parse_sql('v')})"),
+    })
     ts = F.col("__ts")
     # a time field holding text that is not a timestamp rejects the row
-    bad_time = F.col("bad_time")
+    bad_time = F.expr("exists(map_values(__times), x -> x IS NULL)")
     reason = (F.when(blank_to_null(F.col("ts_text")).isNull(),
                      F.lit("Missing required field: timestamp"))
               .when(ts.isNull(), F.concat(F.lit("Unable to parse date: "), F.col("ts_text")))
@@ -121,7 +126,7 @@ def finalize(pre: DataFrame) -> DataFrame:
     # this projection with every alias substituted, copying the whole parse
     # into each predicate
     reason = barrier(reason)
-    times = F.col("times")
+    times = F.col("__times")
     return parsed.select(
         record_id(F.col("source"), F.col("origin"), F.col("sub_type"), F.col("ts_text"),
                   F.col("raw_data"), F.col("occurrence")).alias("id"),
