@@ -87,7 +87,7 @@ def _coalesce_nb(*cols: str) -> str:
 def o_gyro_steps() -> str:
     return f"""SELECT {core('gyroscope', "'fitness'", "'steps'", 'date', f'''
         {odefault(oint('steps'), 0)} AS steps,
-        CASE WHEN service = 'healthkit' THEN 0.9 ELSE 0.7 END AS steps_confidence,
+        CASE WHEN service = 'healthkit' THEN 0.9 ELSE 0.7 END::DOUBLE AS steps_confidence,
         service AS measurement_source''')}
     FROM {wrap(TD.steps_sql(D))} a"""
 
@@ -230,7 +230,7 @@ def o_habits() -> str:
 def o_manual() -> dict[str, str]:
     m = TD.manual_sql(D)
     sev = "CASE severity WHEN 'L' THEN 'low' WHEN 'M' THEN 'medium' WHEN 'H' THEN 'high' ELSE severity END"
-    score = f"COALESCE(CASE {sev} WHEN 'low' THEN 2.0 WHEN 'medium' THEN 3.0 WHEN 'high' THEN 4.0 END, 3.0)"
+    score = f"COALESCE(CASE {sev} WHEN 'low' THEN 2.0 WHEN 'medium' THEN 3.0 WHEN 'high' THEN 4.0 END, 3.0)::DOUBLE"
 
     def sel(t, extra):
         return f"SELECT {core('manual_health', chr(39) + 'health' + chr(39), chr(39) + t + chr(39), 'date', extra)} FROM {wrap(m[t])} a"
@@ -433,7 +433,7 @@ def apple_metric_case(col: str) -> str:
 
 def o_apple_records() -> str:
     conf = ("CASE WHEN contains(source_name, 'Apple Watch') OR contains(source_name, 'iPhone') THEN 0.9 "
-            "WHEN contains(source_name, 'Health') THEN 0.8 ELSE 0.7 END")
+            "WHEN contains(source_name, 'Health') THEN 0.8 ELSE 0.7 END::DOUBLE")
     ts_text = f"COALESCE({onb('start_date')}, creation_date)"
     ranged = "(end_date IS NOT NULL AND end_date <> COALESCE(start_date, ''))"
     return f"""

@@ -155,9 +155,9 @@ def metric_make(spark):
 
 @q("metric_value_unit_confidence", lambda: f"""
     SELECT sub_type, rhr AS resting_heart_rate, 'bpm' AS resting_hr_unit,
-           CASE WHEN rhr IS NOT NULL OR sub_type = 'rhr' THEN 0.8 END AS resting_hr_confidence,
+           CASE WHEN rhr IS NOT NULL OR sub_type = 'rhr' THEN 0.8 END::DOUBLE AS resting_hr_confidence,
            glucose, 'mg/dL' AS glucose_unit,
-           CASE WHEN sub_type = 'glucose' AND glucose IS NOT NULL THEN 0.8 END AS glucose_confidence
+           CASE WHEN sub_type = 'glucose' AND glucose IS NOT NULL THEN 0.8 END::DOUBLE AS glucose_confidence
     FROM ({ok(O.o_gyro_vitals())}) t""")
 def metric_value_unit_confidence(spark):
     v = TB.map_vitals(recs(spark, "gyro_vitals"))

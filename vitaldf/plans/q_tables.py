@@ -123,7 +123,7 @@ def _sleep_sql():
             f"{n} AS awake_minutes, NULL::BIGINT AS wake_ups, {n} AS time_to_sleep_minutes")
     q1 = f"""SELECT {s} AS bedtime, {R('sleep_start')} AS sleep_start, {R('sleep_end')} AS sleep_end,
         {s} AS wake_time, CAST(sleep_duration AS DOUBLE) AS sleep_duration_minutes,
-        0.8 AS duration_confidence, time_in_bed AS time_in_bed_minutes,
+        0.8::DOUBLE AS duration_confidence, time_in_bed AS time_in_bed_minutes,
         CASE WHEN time_in_bed IS NOT NULL THEN 0.8 END AS bed_time_confidence,
         {n} AS sleep_efficiency, {n} AS efficiency_confidence, sleep_quality,
         CASE WHEN sleep_quality IS NOT NULL THEN 0.7 END AS quality_confidence, {tail},
@@ -184,7 +184,7 @@ def map_symptoms(spark):
 @q("map_medications", lambda: f"""
     SELECT medication_name, dosage AS dosage_value,
            CASE WHEN dosage IS NOT NULL THEN dosage_unit END AS dosage_unit,
-           CASE WHEN dosage IS NOT NULL THEN 1.0 END AS dosage_confidence,
+           CASE WHEN dosage IS NOT NULL THEN 1.0 END::DOUBLE AS dosage_confidence,
            frequency, {R('ts')} AS taken_at, NULL::VARCHAR AS notes
     FROM ({ok(O.o_manual()['medication'])}) t""")
 def map_medications(spark):
