@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from vitaldf.llm.common import text_or_empty
 
 THRESHOLD = 0.8
+#: for rounding in the size bounds
+ROOM = 1e-6
 
 #: Notices and paragraphs by which public licences are granted.
 TEMPLATES = (
@@ -75,7 +77,7 @@ def bigrams(segment: str) -> set[tuple[str, str]]:
 
 def size_bounds(size: int, threshold: float) -> tuple[float, float]:
     """Sizes of the other set that allow a Dice coefficient of ``threshold``."""
-    return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
+    return size * threshold / (2 - threshold) - ROOM, size * (2 - threshold) / threshold + ROOM
 
 
 def segments(text: str) -> list[str]:

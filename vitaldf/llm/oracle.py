@@ -37,7 +37,7 @@ FROM d LEFT JOIN s USING (row_no) GROUP BY row_no"""
 def _licenses() -> str:
     rows = ", ".join(f"({i}, {_text(n)}, {_text(t)})" for i, (n, t) in enumerate(license_scan.TEMPLATES))
     upper, lower = license_scan._UPPER, license_scan._LOWER
-    t = f"{license_scan.THRESHOLD}::DOUBLE"
+    t, room = f"{license_scan.THRESHOLD}::DOUBLE", f"{license_scan.ROOM}::DOUBLE"
 
     def words(col):
         return f"regexp_extract_all(translate({col}, '{upper}', '{lower}'), '[a-z0-9]+')"
@@ -55,7 +55,7 @@ seg AS (SELECT row_no, unnest(string_split(text, chr(10))) AS s FROM d
   UNION ALL SELECT row_no, text FROM d),
 b AS (SELECT row_no, {pairs('w')} AS sb FROM (SELECT row_no, {words('s')} AS w FROM seg) WHERE len(w) > 1),
 x AS (SELECT row_no, name, 2.0::DOUBLE * len(list_intersect(sb, tb)) / (len(sb) + len(tb)) AS dice
-      FROM b JOIN t ON len(sb) BETWEEN len(tb) * {t} / (2 - {t}) AND len(tb) * (2 - {t}) / {t}),
+      FROM b JOIN t ON len(sb) BETWEEN len(tb) * {t} / (2 - {t}) - {room} AND len(tb) * (2 - {t}) / {t} + {room}),
 h AS (SELECT row_no, name, max(dice) AS dice FROM x WHERE dice >= {t} GROUP BY ALL),
 g AS (SELECT row_no, first(name ORDER BY dice DESC, name) AS license, max(dice) AS dice,
         string_agg(name, ',' ORDER BY name) AS licenses FROM h GROUP BY row_no)

@@ -41,7 +41,7 @@ def piece_lengths(n: int, most: int = MAX_TOKENS) -> list[int]:
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, most: int,
          id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    encode, task, ranks = text_encoder(path).document, TaskContext.get().partitionId(), Counter()
+    encode, task, ranks = text_encoder(path).documents, TaskContext.get().partitionId(), Counter()
     names = ["id", "start", "length", "ids", "doc_tokens", "task", "rank"]
     types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
 
@@ -51,8 +51,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, most: int,
 
     rows, held = [], 0
     for b in batches:
-        for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            ids = encode(text.as_py())
+        for key, ids in zip(b.column(0).to_pylist(), encode(b.column(1)), strict=True):
             n, at = len(ids) // 4, 0
             for length in piece_lengths(n, most):
                 rows.append((key, at, length, ids[4 * at:4 * (at + length)], n, task, ranks[length]))

@@ -84,7 +84,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, width: int) -> bytes:
 def _write(batches: Iterator[pa.RecordBatch], path: str, folder: str, dictionary: bytes,
            width: int) -> Iterator[pa.RecordBatch]:
     context = TaskContext.get()
-    encode = text_encoder(path).document
+    encode = text_encoder(path).documents
     coder = zstandard.ZstdCompressor(
         level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
     name = f"part-{context.partitionId():06d}.tokens"
@@ -92,13 +92,12 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, folder: str, dictionary
     draft = f"{place}/_{name}-{context.taskAttemptId()}"
     entries, at, total, out = [], 0, 0, None
     for b in batches:
-        for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+        for key, ids in zip(b.column(0).to_pylist(), encode(b.column(1)), strict=True):
             if out is None:
                 out = store.open_output_stream(draft)
                 head = MAGIC + bytes([width]) + hashlib.sha256(dictionary).digest()
                 out.write(head)
                 at = len(head)
-            ids = encode(text.as_py())
             frame = coder.compress(_narrow(ids, width))
             out.write(frame)
             entries.append((key or 0, key is not None, at, len(frame), len(ids) // 4))
