@@ -337,7 +337,7 @@ def test_compression_bands(spark):
                              for _ in range(8)) for _ in range(600))
     words = [f"w{i}" for i in range(40)]
     loop = " ".join(words[(i * i + i) % 40] if i % 7 else str(i) for i in range(9000))
-    half = prose(3, 1200) + " " + noise
+    half = prose(3, 1200) + " " + noise + " " + noise[::-1] + " " + noise.swapcase()
     texts = [prose(1, 60), prose(2, 3000), noise, loop, half]
     kept = {x["doc_id"]: x["kept"] for x in quality.quality(spark.createDataFrame(
         list(enumerate(texts)), "doc_id long, text string")).collect()}

@@ -1,10 +1,10 @@
-"""Token ids of whole texts, a batch at a time, with a bounded cache of words.
+"""Token ids of whole texts, a batch at a time, with a bounded cache of word parts.
 
 A byte-level BPE tokenizer cuts a text at each space before it looks at
 words, so a text's ids are those of its space-led words, one after the other.
 Arrow splits a batch of texts and finds its distinct words; the library is
-asked once for each word that the cache lacks, and the texts' ids are put
-together by position.  A text where a space stands inside a run of white
+asked once for the letters of each that the cache lacks, and the texts' ids
+are put together by position.  A text where a space stands inside a run of white
 space, or a tokenizer that doesn't work this way, is encoded in one go.
 """
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: words kept; a full cache starts anew, which changes no result
+#: word parts kept; a full cache starts anew, which changes no result
 CACHE_WORDS = 1 << 19
 #: bytes of text that are split together (a longer text is so alone)
 SLICE_BYTES = 6 << 20
@@ -49,8 +49,7 @@ class TextEncoder:
             and all(t.special for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.model = self.tokenizer.model
         self.line_end = self.whole("\n")
-        self.words: dict[str, bytes] = {}    # ids of " word"
-        self.parts: dict[str, bytes] = {}    # ids of " letters", of letters and of marks
+        self.parts: dict[str, bytes] = {}  # ids of " letters", of letters and of marks
 
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -73,7 +72,7 @@ class TextEncoder:
         ids = self.parts[key] = packed([t.id for t in self.model.tokenize(mapped_space + part)])
         return ids
 
-    def _new_word(self, word: str) -> bytes:
+    def _word(self, word: str) -> bytes:
         """Ids of " " + word."""
         if "\n" not in word:
             ids = self._plain(word, " ", _SPACE)
@@ -92,11 +91,9 @@ class TextEncoder:
         first = lists.offsets.to_numpy()[:-1]
         coded = lists.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        for cache in (self.words, self.parts):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-        self.words.update([(w, self._new_word(w)) for w in distinct if w not in self.words])
-        table = [*map(self.words.__getitem__, distinct), packed([END_ID])]
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        table = [*map(self._word, distinct), packed([END_ID])]
         # a text's first word has no space before it
         table += [self.whole(w) for w in lists.flatten().take(pa.array(first)).to_pylist()]
         at = coded.indices.to_numpy().astype(np.int64)
