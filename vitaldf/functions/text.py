@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitaldf.functions.timestamps import blank_to_null
 
-_ATTR = r'(\w+)="([^"]*)"'
+_ATTR = r'([\w:.-]+)\s*=\s*"([^"]*)"'
 
 
 def _col(c) -> Column:
@@ -67,8 +67,8 @@ def xml_attributes(c) -> Column:
     c = _col(c)
     keys = F.regexp_extract_all(c, F.lit(_ATTR), 1)
     vals = F.transform(F.regexp_extract_all(c, F.lit(_ATTR), 2), xml_unescape)
-    # Attribute names are unique in a well-formed element; a line that
-    # repeats one is malformed and yields no attributes (so no record).
+    # Attribute names are unique in a well-formed element; one that repeats a
+    # name is malformed and yields NULL (the reader turns it into a reject).
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, vals))
 
 

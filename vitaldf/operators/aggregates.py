@@ -30,12 +30,16 @@ def agg_date_range(records: DataFrame) -> DataFrame:
 
 
 def agg_table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of every table, one job (union of per-table partial counts)."""
-    parts = [t.select(F.lit(name).alias("table_name")) for name, t in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
+    """Row count of every table, 0 for an empty one, in one job.
+
+    Each table adds a row of weight 0, so that none is missing.
+    """
+    parts = [t.select(F.lit(name).alias("table_name"), F.lit(1).alias("n")) for name, t in tables.items()]
+    spark = next(iter(tables.values())).sparkSession
+    out = spark.createDataFrame([(name, 0) for name in tables], "table_name string, n int")
+    for p in parts:
         out = out.unionByName(p)
-    return out.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    return out.groupBy("table_name").agg(F.sum("n").alias("row_count"))
 
 
 def agg_processing_stats(finalized: DataFrame) -> DataFrame:

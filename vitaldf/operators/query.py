@@ -45,10 +45,11 @@ def dynamic_predicate(start=None, end=None, source=None, data_type=None) -> Colu
 
 
 def query_records(df: DataFrame, start=None, end=None, source=None, data_type=None,
-                  limit: int = 100) -> DataFrame:
-    """Filtered records, newest first, top ``limit`` (TakeOrderedAndProject)."""
+                  limit: int | None = None) -> DataFrame:
+    """Filtered records, newest first; with ``limit`` the first so many (TakeOrderedAndProject)."""
     out = df.filter(dynamic_predicate(start, end, source, data_type))
-    return out.orderBy(F.col("timestamp").desc(), F.col("id")).limit(limit)
+    out = out.orderBy(F.col("timestamp").desc(), F.col("id"))
+    return out if limit is None else out.limit(limit)
 
 
 REPORT_COLUMNS = {

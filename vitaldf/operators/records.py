@@ -54,7 +54,9 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
                times: Mapping[str, Column] | None = None,
                symptoms: Column | None = None,
                loc: Column | None = None,
-               raw: Column | None = None) -> list[Column]:
+               raw: Column | None = None,
+               problem: Column | None = None) -> list[Column]:
+    """``problem``: why the row must be rejected, whatever its timestamp."""
     def lit(x):
         return x if isinstance(x, Column) else F.lit(x)
     return [
@@ -72,6 +74,7 @@ def pre_record(source, data_type, sub_type, ts_text: Column,
          else F.lit(None).cast("array<string>")).alias("symptoms"),
         (loc if loc is not None else null_location()).alias("location"),
         (raw if raw is not None else F.col("raw_data")).cast("string").alias("raw_data"),
+        lit(problem).cast("string").alias("problem"),
     ]
 
 
@@ -117,8 +120,9 @@ def finalize(pre: DataFrame) -> DataFrame:
     ts = F.col("__ts")
     # a time field holding text that is not a timestamp rejects the row
     bad_time = F.expr("exists(map_values(__times), x -> x IS NULL)")
-    reason = (F.when(blank_to_null(F.col("ts_text")).isNull(),
-                     F.lit("Missing required field: timestamp"))
+    reason = (F.when(F.col("problem").isNotNull(), F.col("problem"))
+              .when(blank_to_null(F.col("ts_text")).isNull(),
+                    F.lit("Missing required field: timestamp"))
               .when(ts.isNull(), F.concat(F.lit("Unable to parse date: "), F.col("ts_text")))
               .when(F.coalesce(bad_time, F.lit(False)),
                     F.lit("Unable to parse date in time field")))

@@ -6,18 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitaldf.plans import q_functions, q_sources  # noqa: F401  (registration)
+from vitaldf.plans import q_files, q_functions, q_sources, q_tables  # noqa: F401  (registration)
 from vitaldf.plans.registry import CATALOG, prepare
 
-try:  # later catalog modules register more queries
-    from vitaldf.plans import q_tables  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-try:
-    from vitaldf.plans import q_files  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-
 
 def _bind(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Write derived rows as export files named like the apps name them.
 
-Rows are hash-partitioned by their ``origin`` (the export file name), so
-each file is produced by exactly one task, written through Spark's commit
-protocol, and then given its export name (a metadata-only rename per file,
+Each task writes a file for every ``origin`` (export file name) among its
+rows, through Spark's commit protocol; AQE splits an origin that is large.
+The files then get their export names (a metadata-only rename per file,
 never per row).  Used to exercise the file readers at full table size.
 """
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,13 @@ def _fs(spark: SparkSession, path: str):
 
 def write_named(spark: SparkSession, df: DataFrame, base: str, fmt: str = "csv",
                 options: dict | None = None, name_col: str = "origin") -> list[str]:
-    """Write ``df`` into one file per distinct ``name_col`` under ``base``.
+    """Write ``df`` into one or more files per distinct ``name_col`` under ``base``.
 
-    Returns the final file paths (``base/<origin>``).  ``origin`` values may
-    contain sub-directories.
+    Returns the final file paths: ``base/<origin>``, further ones in ``base/p1``
+    and so on.  ``origin`` values may contain sub-directories.
     """
-    staging = base.rstrip("/") + "/_staging"
-    w = df.repartition(name_col).write.partitionBy(name_col).format(fmt)
+    staging = f"{base.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    w = df.hint("rebalance", name_col).write.partitionBy(name_col).format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save(staging)
@@ -52,6 +53,18 @@ def write_named(spark: SparkSession, df: DataFrame, base: str, fmt: str = "csv",
     return sorted(out)
 
 
-def text_lines(df: DataFrame, value: str) -> DataFrame:
-    """(origin, value) rows for the text writer."""
-    return df.select("origin", F.col(value).alias("value"))
+def remove_files(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, p = _fs(spark, path)
+        fs.delete(p, False)
+
+
+def write_json_arrays(spark: SparkSession, items: DataFrame, base: str, per_file: int = 1000) -> list[str]:
+    """Items (with ``origin``) as files that each hold one top-level JSON array."""
+    cols = [c for c in items.columns if c != "origin"]
+    files = max(1, -(-items.count() // per_file))
+    h = F.pmod(F.xxhash64(*cols), F.lit(files))
+    arrays = items.groupBy("origin", h.alias("chunk")).agg(
+        F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+    named = arrays.select("value", F.concat("origin", F.lit("/"), F.col("chunk").cast("string")).alias("origin"))
+    return write_named(spark, named, base, "text")

@@ -395,7 +395,7 @@ def o_nike_minutes() -> str:
 
 # ---------------------------------------------------------------- apple ----
 
-def o_xml_attrs() -> str:
+def o_xml_attrs(where: str = "TRUE") -> str:
     def a(name):
         return f"NULLIF(regexp_extract(line, ' {name}=\"([^\"]*)\"', 1), '')"
     return f"""
@@ -406,7 +406,7 @@ def o_xml_attrs() -> str:
            {a('durationUnit')} AS duration_unit, {a('totalDistance')} AS total_distance,
            {a('totalDistanceUnit')} AS total_distance_unit, {a('totalEnergyBurned')} AS total_energy,
            {a('totalEnergyBurnedUnit')} AS total_energy_unit
-    FROM {wrap(TD.xml_lines_sql(D))} x"""
+    FROM {wrap(TD.xml_lines_sql(D))} x WHERE {where}"""
 
 
 def apple_type_case(col: str) -> str:
@@ -431,7 +431,7 @@ def apple_metric_case(col: str) -> str:
             + " END, 'metric_value')")
 
 
-def o_apple_records() -> str:
+def o_apple_records(where: str = "TRUE") -> str:
     conf = ("CASE WHEN contains(source_name, 'Apple Watch') OR contains(source_name, 'iPhone') THEN 0.9 "
             "WHEN contains(source_name, 'Health') THEN 0.8 ELSE 0.7 END::DOUBLE")
     ts_text = f"COALESCE({onb('start_date')}, creation_date)"
@@ -444,11 +444,11 @@ def o_apple_records() -> str:
            CASE WHEN {ranged} THEN {odur('start_date', 'end_date')} END AS duration,
            CASE WHEN {ranged} THEN {ots('end_date')} END AS end_time,
            COALESCE(source_name, 'Unknown') AS device_name
-    FROM ({o_xml_attrs()}) x
+    FROM ({o_xml_attrs(where)}) x
     WHERE tag = 'Record' AND type IS NOT NULL AND {apple_type_case('type')} <> 'unknown'"""
 
 
-def o_apple_workouts() -> str:
+def o_apple_workouts(where: str = "TRUE") -> str:
     return f"""
     SELECT origin, 'apple_health' AS source, 'fitness' AS data_type, 'workout' AS sub_type,
            start_date AS ts_text, {ots('start_date')} AS ts,
@@ -460,7 +460,7 @@ def o_apple_workouts() -> str:
            CASE WHEN {onb('total_energy')} IS NOT NULL THEN {ofloat('total_energy')} END AS calories,
            CASE WHEN {onb('total_distance')} IS NOT NULL THEN {ofloat('total_distance')} END AS distance,
            {ots('end_date')} AS end_time
-    FROM ({o_xml_attrs()}) x WHERE tag = 'Workout'"""
+    FROM ({o_xml_attrs(where)}) x WHERE tag = 'Workout'"""
 
 
 # ---------------------------------------------------------------- all ------

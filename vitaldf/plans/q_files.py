@@ -11,21 +11,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitaldf import functions as V
-from vitaldf.operators import aggregates as AG
 from vitaldf.operators import quality as DQ
 from vitaldf.operators import tables as TB
-from vitaldf.operators.records import build_records, finalize, rejects, valid
+from vitaldf.operators.records import build_records, finalize, rejects
 from vitaldf.operators.store import Store, sink_json_by_type
 from vitaldf.plans import oracle as O
 from vitaldf.plans import testdata as TD
-from vitaldf.plans.exports import write_named
+from vitaldf.plans.exports import remove_files, write_json_arrays, write_named
 from vitaldf.plans.q_tables import ALL_OK, _discover_rules_sql, _inventory_spark, _table_counts_sql, \
     claimed_sql, inventory_sql
 from vitaldf.plans.registry import fin, q, recs, ts_out
+from vitaldf.schema import MANUAL_TYPES, PROCESSOR_COUNT
 from vitaldf.session import shared_dir
-from vitaldf.sources import apple, coach, files, gyroscope, manual, moves, nike, pipeline, sleep
+from vitaldf.sources import apple, files, gyroscope, moves, nike, pipeline, sleep
 from vitaldf.streaming.incremental import incremental_batch, incremental_stream
 
 D = TD.DUCK
@@ -55,9 +56,7 @@ def _write_csv(spark, df, name, sep=",", encoding=None):
     SELECT sub_type, {R('ts')} AS timestamp, steps FROM ({ok(O.o_gyro_steps())}) t""")
 def scan_csv_header(spark):
     paths = _write_csv(spark, TD.raw_steps(spark), "export-gyro")
-    r = build_records(pipeline.read_gyroscope(spark, paths)[0]
-                      if len(files.header_groups(spark, paths)) == 1
-                      else reduce(DataFrame.unionByName, pipeline.read_gyroscope(spark, paths)))
+    r = build_records(reduce(DataFrame.unionByName, pipeline.read_gyroscope(spark, paths)))
     return r.select("sub_type", _ts(), F.col("metrics")["steps"]["value"].alias("steps"))
 
 
@@ -115,9 +114,10 @@ def scan_csv_moves(spark):
     SELECT {R('ts')} AS timestamp, activity_type, duration, distance
     FROM ({ok(O.o_moves_json_activities())}) t""")
 def scan_json_array(spark):
+    """Files that each hold one top-level array of items."""
     items = TD.raw_moves_json_activity_items(spark)
-    paths = write_named(spark, items, shared_dir(spark, "export-mjson"), "json")
-    raw = moves.read_json(spark, paths, "activities", multi_line=False)
+    paths = write_json_arrays(spark, items, shared_dir(spark, "export-mjson"))
+    raw = moves.read_json(spark, paths, "activities")
     r = build_records(moves.normalize_json(raw, "activities"))
     return r.select(_ts(), F.col("attrs")["activity_type"].alias("activity_type"),
                     F.col("metrics")["duration"]["value"].alias("duration"),
@@ -129,32 +129,48 @@ def scan_json_array(spark):
 def scan_json_document(spark):
     docs = TD.raw_minutes(spark)
     base = shared_dir(spark, "export-nike")
-    docs.withColumn("bundle", F.abs(F.hash("origin")) % 8).write.partitionBy("bundle").json(base)
-    raw = nike.read_lines(spark, [base]).drop("bundle")
+    docs.write.json(base)
+    raw = nike.read_lines(spark, [base])
     r = build_records(nike.normalize(raw)).filter(F.col("sub_type") == "activity")
     return r.select("origin", _ts(), F.col("metrics")["steps"]["value"].alias("steps"),
                     F.col("metrics")["fuel_points"]["value"].alias("fuel_points"))
 
 
+# The XML export is written without a line for each element: some tags span
+# lines, others share one, and every 50th (by hash) repeats an attribute.
+_XML_HASH = "(('0x' || substr(md5(line), 1, 8))::BIGINT)"
+_XML_GOOD, _XML_BAD = f"{_XML_HASH} % 50 <> 0", f"{_XML_HASH} % 50 = 0"
+
+
 def _xml_files(spark):
-    lines = TD.raw_xml(spark).select("origin", F.col("line").alias("value"))
-    return write_named(spark, lines, shared_dir(spark, "export-apple"), "text")
+    lines = TD.raw_xml(spark)
+    h = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
+    text = F.when(h % 50 == 0, F.replace("line", F.lit(" startDate="), F.lit(' startDate="x" startDate=')))
+    text = text.when(h % 3 == 0, F.replace("line", F.lit(" sourceVersion="), F.lit("\n   sourceVersion =  ")))
+    text = text.otherwise(F.concat("line", F.lit('<MetadataEntry key="k" value="&lt;v>"/>')))
+    rows = lines.select("origin", text.alias("value"))
+    return write_named(spark, rows, shared_dir(spark, "export-apple"), "text", {"lineSep": " "})
 
 
 @q("scan_xml_records", lambda: f"""
-    SELECT {R('ts')} AS timestamp, data_type, sub_type, value, unit FROM ({ok(O.o_apple_records())}) t""")
+    SELECT {R('ts')} AS timestamp, data_type, sub_type, value, unit
+    FROM ({ok(O.o_apple_records(_XML_GOOD))}) t
+    UNION ALL SELECT NULL, 'unknown', lower(tag), NULL, NULL
+    FROM ({TD.xml_lines_sql(D)}) x WHERE {_XML_BAD}""")
 def scan_xml_records(spark):
-    r = build_records(apple.normalize(apple.read(spark, _xml_files(spark))))
-    r = r.filter(F.col("sub_type") != "workout")
-    key = F.element_at(F.filter(F.map_keys("metrics"),
-                                lambda k: ~k.isin("duration", "sleep_duration")), 1)
+    """Records of the export, and the malformed elements as rejects."""
+    r = finalize(apple.normalize(apple.read(spark, _xml_files(spark))))
+    r = r.filter((F.col("sub_type") != "workout") & F.col("reason").isNull()
+                 | (F.col("reason") == "Malformed element"))
+    key = F.try_element_at(F.filter(F.map_keys("metrics"),
+                                    lambda k: ~k.isin("duration", "sleep_duration")), F.lit(1))
     return r.select(_ts(), "data_type", "sub_type", F.col("metrics")[key]["value"].alias("value"),
                     F.col("metrics")[key]["unit"].alias("unit"))
 
 
 @q("scan_xml_workouts", lambda: f"""
     SELECT {R('ts')} AS timestamp, workout_type, duration, calories, distance
-    FROM ({ok(O.o_apple_workouts())}) t""")
+    FROM ({ok(O.o_apple_workouts(_XML_GOOD))}) t""")
 def scan_xml_workouts(spark):
     r = build_records(apple.normalize(apple.read(spark, _xml_files(spark))))
     r = r.filter(F.col("sub_type") == "workout")
@@ -164,43 +180,66 @@ def scan_xml_workouts(spark):
                     m["distance"]["value"].alias("distance"))
 
 
-@q("scan_xml_sampled")
+_XML_SAMPLE = "(('0x' || substr(md5(ltrim(line)), 1, 8))::BIGINT) % 10 = 0"
+
+
+@q("scan_xml_sampled", lambda: f"""
+    SELECT data_type, count(*) AS records FROM (
+      SELECT data_type FROM ({ok(O.o_apple_records(_XML_SAMPLE))}) a
+      UNION ALL SELECT data_type FROM ({ok(O.o_apple_workouts(_XML_SAMPLE))}) b) t GROUP BY 1""")
 def scan_xml_sampled(spark):
-    """Opt-in deterministic 1-in-10 hash sample of the element lines (the
+    """Opt-in deterministic 1-in-10 hash sample of the elements (the
     sampling operator itself; the default path reads every element)."""
-    el = apple.sample(apple.read(spark, _xml_files(spark)), every=10, max_records=None)
-    r = build_records(apple.normalize(el))
+    lines = TD.raw_xml(spark).select("origin", F.col("line").alias("value"))
+    paths = write_named(spark, lines, shared_dir(spark, "export-apple"), "text")
+    r = build_records(apple.normalize(apple.sample(apple.read(spark, paths), every=10)))
     return r.groupBy("data_type").agg(F.count(F.lit(1)).alias("records"))
 
 
+def _name_of(path):
+    """An export file's name below its folder (later files of a name are in p1, p2, ...)."""
+    return F.regexp_extract(path, r"([^/]+/export\.xml|[^/]+)$", 1)
+
+
 @q("scan_text_lines", lambda: f"""
     SELECT origin, count(*) AS lines FROM ({TD.xml_lines_sql(D)}) x GROUP BY origin""")
 def scan_text_lines(spark):
-    paths = _xml_files(spark)
-    base = paths[0].rsplit("/apple_health_export_", 1)[0] + "/"
+    lines = TD.raw_xml(spark).select("origin", F.col("line").alias("value"))
+    paths = write_named(spark, lines, shared_dir(spark, "export-lines"), "text")
     t = files.scan_text_lines(spark, paths)
-    return t.groupBy(F.replace(F.col("origin"), F.lit("file:" + base) if base.startswith("/")
-                               else F.lit(base), F.lit("")).alias("origin")).agg(
-        F.count(F.lit(1)).alias("lines"))
+    return t.groupBy(_name_of("origin").alias("origin")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+# Notes of even sources are written in Latin-1, where their text allows, with
+# two columns; the others in UTF-8 with three.
+_LATIN1 = r"^[\x00-\xFF]*$"
 
 
-@q("scan_encoding", lambda: f"""
-    SELECT date, replace(substr(text, 1, 12), chr(10), ' ') AS note
-    FROM ({TD.manual_sql(D)['general'].replace('doc.lang AS "Note Text"', 'doc.text AS text')}) a""")
+@q("scan_encoding", lambda: """
+    SELECT CASE WHEN regexp_matches(text, '^[\\x{00}-\\x{FF}]*$') AND length(source) % 2 = 0
+                THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding,
+           regexp_replace(text, '[\\n\\r]', ' ', 'g') AS note
+    FROM documents""")
 def scan_encoding(spark):
-    raw = TD.raw_manual(spark)["general"]
-    src = (spark.table("documents").filter(F.col("doc_id") % 9 == 8)
-           .select("doc_id", F.replace(F.substring("text", 1, 12), F.lit("\n"), F.lit(" ")).alias("note")))
-    # derive the file rows (date + note) and write them in latin-1
-    date = F.concat(F.lit("2020-"), F.lpad(((F.col("doc_id") % 12) + 1).cast("string"), 2, "0"),
-                    F.lit("-"), F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"))
-    rows = src.select(F.lit("notes_latin1.csv").alias("origin"), date.alias("date"), "note")
-    paths = _write_csv(spark, rows, "export-latin1", encoding="ISO-8859-1")
-    groups = files.header_groups(spark, paths)
-    (h, d, e), ps = next(iter(groups.items()))
-    back = files.read_csv_group(spark, ps, d, e)
-    del raw
-    return back.select("date", "note")
+    """Every document's whole text, written and read back in two encodings and header groups."""
+    docs = spark.table("documents").select(
+        "doc_id", "source", F.regexp_replace("text", "[\n\r]", " ").alias("note"),
+        (F.rlike("text", F.lit(r"(?s)" + _LATIN1)) & (F.length("source") % 2 == 0)).alias("latin"))
+    name = F.concat(F.lit("notes_"), F.col("source"), F.lit(".csv"))
+    latin = docs.filter("latin").select(name.alias("origin"), F.col("doc_id").alias("no"), "note")
+    other = docs.filter(~F.col("latin")).select(
+        F.concat(F.lit("utf8_"), name).alias("origin"), F.col("doc_id").alias("no"), "note", "source")
+    opts = {"escape": '"', "quoteAll": "true"}
+    paths = write_named(spark, latin, shared_dir(spark, "export-latin1"), "csv",
+                        {**CSV_OPTS, **opts, "encoding": "ISO-8859-1"})
+    paths += write_named(spark, other, shared_dir(spark, "export-utf8"), "csv", {**CSV_OPTS, **opts})
+    parts = []
+    for (header, d, e), ps in files.header_groups(spark, paths).items():
+        back = files.read_csv_group(spark, ps, d, e)
+        # a file of the first kind that holds ASCII alone is UTF-8 as well
+        first = F.lit("UTF-8" if "source" in header else "ISO-8859-1")
+        parts.append(back.select(first.alias("encoding"), "note"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @q("scan_table", lambda: f"""
@@ -215,9 +254,9 @@ def scan_table(spark):
     SELECT 'csv' AS ext, count(DISTINCT l_suppkey % 10) AS files FROM lineitem""")
 def scan_file_inventory(spark):
     paths = _write_csv(spark, TD.raw_steps(spark), "export-inv")
-    root = paths[0].rsplit("/", 1)[0]
+    root = min(paths, key=len).rsplit("/", 1)[0]
     inv = files.scan_file_inventory(spark, root)
-    return inv.groupBy("ext").agg(F.count(F.lit(1)).alias("files"))
+    return inv.groupBy("ext").agg(F.count_distinct("name").alias("files"))
 
 
 # ------------------------------------------------------ discovery / classify
@@ -257,8 +296,14 @@ def _manual_origins_sql():
     return " UNION ALL ".join(f"SELECT origin FROM ({s}) x" for s in m.values())
 
 
+def _manual_type_cases():
+    name = "lower(regexp_extract(origin, '([^/]*)$', 1))"
+    return " ".join("WHEN " + " OR ".join(f"contains({name}, '{w}')" for w in words) + f" THEN '{label}'"
+                    for label, words in MANUAL_TYPES)
+
+
 @q("classify_file_manual", lambda: f"""
-    SELECT origin, CASE {' '.join(f"WHEN {' OR '.join(f'contains(lower(regexp_extract(origin, {chr(39)}([^/]*)${chr(39)}, 1)), {chr(39)}{w}{chr(39)})' for w in words)} THEN '{label}'" for label, words in __import__('vitaldf.schema', fromlist=['x']).MANUAL_TYPES)} ELSE 'general' END AS health_type,
+    SELECT origin, CASE {_manual_type_cases()} ELSE 'general' END AS health_type,
            count(*) AS rows FROM ({_manual_origins_sql()}) o GROUP BY 1, 2""")
 def classify_file_manual(spark):
     u = reduce(DataFrame.unionByName, [d.select("origin") for d in TD.raw_manual(spark).values()])
@@ -342,8 +387,10 @@ def sink_tables(spark):
 @q("sink_rejects", lambda: f"""
     SELECT source, count(*) AS rejects FROM ({O.all_core()}) u WHERE NOT ok GROUP BY 1""")
 def sink_rejects(spark):
+    """Rejects sunk twice, as a replayed batch does."""
     st = Store(spark, shared_dir(spark, "store-rejects"))
-    st.append_rejects(rejects(fin(spark)))
+    for _ in range(2):
+        st.replace_rejects(rejects(fin(spark)))
     return st.rejects().groupBy("source").agg(F.count(F.lit(1)).alias("rejects"))
 
 
@@ -351,118 +398,201 @@ def _steps_files(spark):
     return _write_csv(spark, TD.raw_steps(spark), "export-steps")
 
 
-_STEPS_FILES_SQL = "SELECT count(DISTINCT l_suppkey % 10) FROM lineitem"
+# Sorted text files of about 100 000 lines, so that SQL knows their content.
+_LINE = "coalesce(date, '') || ',' || coalesce(steps, '') || ',' || coalesce(service, '')"
 
 
-@q("file_checksum", lambda: f"""
-    SELECT ({_STEPS_FILES_SQL}) AS files, ({_STEPS_FILES_SQL}) AS distinct_checksums""")
-def file_checksum(spark):
-    cs = files.file_checksum(spark, _steps_files(spark))
-    return cs.agg(F.count(F.lit(1)).alias("files"),
-                  F.count_distinct("checksum").alias("distinct_checksums"))
+def _checksum_sql():
+    h = [f"('0x' || substr(md5(line), {i}, 8))::BIGINT" for i in (1, 9)]
+    sums = " || ':' || ".join(f"sum(({x})::HUGEINT * no)::VARCHAR" for x in h)
+    return f"""
+    WITH l AS (SELECT origin, {_LINE} AS line FROM ({TD.steps_sql(D)}) s),
+    p AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT
+            % CAST(ceil((SELECT count(*) FROM l) / 100000.0) AS BIGINT) AS part FROM l),
+    n AS (SELECT *, row_number() OVER (PARTITION BY origin, part ORDER BY line) AS no FROM p)
+    SELECT origin, part, md5(sum(strlen(line) + 1)::VARCHAR || ':' || count(*)::VARCHAR || ':' || {sums}) AS checksum
+    FROM n GROUP BY origin, part"""
 
 
-@q("sink_manifest", lambda: f"SELECT ({_STEPS_FILES_SQL}) AS entries")
+@q("file_checksum", _checksum_sql)
+def file_checksum(spark):
+    steps = TD.raw_steps(spark)
+    parts = -(-steps.count() // 100_000)
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in ("date", "steps", "service")])
+    rows = steps.select("origin", line.alias("value"))
+    part = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint") % parts
+    base = shared_dir(spark, "export-lines")
+    (rows.withColumn("part", part).repartition("origin", "part")
+     .sortWithinPartitions("origin", "part", "value").write.partitionBy("origin", "part").text(base))
+    cs = files.file_checksum(spark, [base])
+    return cs.select(F.regexp_extract("path", "origin=([^/]*)", 1).alias("origin"),
+                     F.regexp_extract("path", "part=([^/]*)", 1).cast("long").alias("part"), "checksum")
+
+
+@q("sink_manifest", lambda: """
+    SELECT DISTINCT 'gyroscope-u' || CAST(l_suppkey % 10 AS VARCHAR) || '-steps-export.csv' AS file,
+           true AS current FROM lineitem""")
 def sink_manifest(spark):
+    """Manifest entries after a second update in which every checksum changed."""
     st = Store(spark, shared_dir(spark, "store-manifest"))
-    st.update_manifest(files.file_checksum(spark, _steps_files(spark)))
-    return st.manifest().agg(F.count(F.lit(1)).alias("entries"))
+    now = files.file_checksum(spark, _steps_files(spark))
+    st.update_manifest(now.withColumn("checksum", F.lit("stale")))
+    st.update_manifest(now)
+    return st.manifest().groupBy(_name_of("path").alias("file")).agg(
+        F.bool_and(F.col("checksum") != "stale").alias("current"))
+
+
+_VERSION_2 = """
+    CASE origin WHEN 'gyroscope-u1-steps-export.csv' THEN '7' ELSE steps END AS steps"""
+_KEPT_2 = """origin <> 'gyroscope-u3-steps-export.csv'
+    AND (origin <> 'gyroscope-u2-steps-export.csv' OR service = 'manual')"""
 
 
 @q("incremental_batch", lambda: f"""
-    SELECT 1 AS run, ({_STEPS_FILES_SQL}) AS files_processed,
-           (SELECT count(*) FROM ({ok(O.o_gyro_steps())}) t) AS records_stored
-    UNION ALL SELECT 2, 0, (SELECT count(*) FROM ({ok(O.o_gyro_steps())}) t)""")
+    SELECT origin, count(*) AS records, sum(steps) AS steps, false AS processed_again
+    FROM ({ok(O.o_gyro_steps().replace(TD.steps_sql(D), f"""
+        SELECT origin, date, {_VERSION_2}, service FROM ({TD.steps_sql(D)}) v1 WHERE {_KEPT_2}"""))}) t
+    GROUP BY origin""")
 def incremental_batch_q(spark):
+    """Records left after one file was rewritten, one shrunk, one deleted, and nothing the third time."""
     st = Store(spark, shared_dir(spark, "store-incr"))
-    by_source = {"gyroscope": _steps_files(spark)}
-    first = incremental_batch(spark, st, by_source).count()
-    n1 = st.records().count()
-    second = incremental_batch(spark, st, by_source).count()
-    n2 = st.records().count()
-    return spark.createDataFrame([(1, first, n1), (2, second, n2)],
-                                 "run int, files_processed bigint, records_stored bigint")
+    steps = TD.raw_steps(spark)
+    paths = _write_csv(spark, steps, "export-v1")
+    incremental_batch(spark, st, {"gyroscope": paths})
+    changed = [f"gyroscope-u{i}-steps-export.csv" for i in (1, 2, 3)]
+    remove_files(spark, [p for p in paths if p.rsplit("/", 1)[1] in changed])
+    base = min(paths, key=len).rsplit("/", 1)[0]
+    v2 = steps.filter(F.col("origin").isin(changed)).filter(F.expr(_KEPT_2)).withColumn(
+        "steps", F.expr(_VERSION_2.replace(" AS steps", "")))
+    paths = [p for p in paths if p.rsplit("/", 1)[1] not in changed]
+    paths += write_named(spark, v2, base, "csv", dict(CSV_OPTS, sep=","))
+    incremental_batch(spark, st, {"gyroscope": paths})
+    again = incremental_batch(spark, st, {"gyroscope": paths}).count()
+    return st.records().groupBy(_name_of("origin").alias("origin")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.col("metrics")["steps"]["value"]).alias("steps")
+    ).withColumn("processed_again", F.lit(again > 0))
 
 
 @q("incremental_stream", lambda: f"""
-    SELECT count(*) AS records, count(DISTINCT sub_type) AS sub_types
-    FROM ({ok(O.o_gyro_steps())}) t""")
+    SELECT {R('ts')} AS timestamp, count(*) AS records, sum(steps) AS steps
+    FROM ({ok(O.o_gyro_steps())}) t GROUP BY ts""")
 def incremental_stream_q(spark):
     paths = _steps_files(spark)
-    src_dir = paths[0].rsplit("/", 1)[0]
+    src_dir = min(paths, key=len).rsplit("/", 1)[0]
     st = Store(spark, shared_dir(spark, "store-stream"))
-    schema = "date string, steps string, service string"
-    from pyspark.sql.types import _parse_datatype_string
-    incremental_stream(spark, st, src_dir, _parse_datatype_string(schema), gyroscope.normalize,
-                       shared_dir(spark, "stream-ckpt"), {"pathGlobFilter": "*.csv"})
-    return st.records().agg(F.count(F.lit(1)).alias("records"),
-                            F.count_distinct("sub_type").alias("sub_types"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("date", "steps", "service")])
+    incremental_stream(spark, st, src_dir, schema, gyroscope.normalize, shared_dir(spark, "stream-ckpt"),
+                       {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"})
+    return st.records().groupBy("timestamp").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.col("metrics")["steps"]["value"]).alias("steps")
+    ).select(_ts(), "records", "steps")
 
 
 @q("reprocess_source", lambda: f"""
     SELECT source, count(*) AS records FROM ({ALL_OK()}) t GROUP BY 1""")
 def reprocess_source(spark):
     st = _store(spark)
-    st.reprocess_source("sleep_tracker", recs(spark))
+    # twice, as after a run that was cut off
+    for _ in range(2):
+        st.reprocess_source("sleep_tracker", recs(spark))
     return st.records().groupBy("source").agg(F.count(F.lit(1)).alias("records"))
 
 
 # -------------------------------------------------------------- quality ----
 
-DQ_LAYOUTS = ("gyro_steps", "gyro_workouts", "gyro_vitals", "sleep_quality")
+_SOURCES = ["apple_health", "coach_me", "gyroscope", "manual_health", "moves", "nike_plus", "sleep_tracker"]
+# records damaged for the checks: those of a source's first days of each month
+_DAMAGED_SQL = "(day(ts) <= 2 * (list_position([" + ", ".join(f"'{x}'" for x in _SOURCES) + "], source) - 1))"
+
+
+def _damaged(spark):
+    """All records; from none (first source) to 12 days a month of each source without
+    a timestamp and type."""
+    days = 2 * (F.array_position(F.array(*[F.lit(x) for x in _SOURCES]), F.col("source")) - 1)
+    bad = F.dayofmonth("timestamp") <= days
+    r = recs(spark)
+    return r.withColumns({"timestamp": F.when(~bad, F.col("timestamp")),
+                          "data_type": F.when(bad, F.lit("")).otherwise(F.col("data_type"))})
 
 
-def _dq_expected_sql():
-    wk = f"""CASE WHEN calories IS NULL THEN 'steps,calories,distance' ELSE 'steps,distance' END"""
+def _expected_sql():
+    """(source, sub_type, missing) for the layouts whose fields SQL knows."""
+    wk = """CASE WHEN calories IS NULL THEN 'steps,calories,distance' ELSE 'steps,distance' END"""
     vit = "CASE WHEN systolic IS NOT NULL THEN 'heart_rate' ELSE 'heart_rate,blood_pressure' END"
     return f"""
     SELECT source, sub_type, 'calories,distance' AS missing_fields FROM ({ok(O.o_gyro_steps())}) a
     UNION ALL SELECT source, sub_type, {wk} FROM ({ok(O.o_gyro_workouts())}) b
     UNION ALL SELECT source, sub_type, {vit} FROM ({ok(O.o_gyro_vitals())}) c
-    UNION ALL SELECT source, sub_type, '' FROM ({ok(O.o_sleep_quality())}) d"""
+    UNION ALL SELECT source, sub_type, '' FROM ({ok(O.o_sleep_quality())}) d
+    UNION ALL SELECT source, sub_type, concat_ws(',', CASE WHEN steps IS NULL THEN 'steps' END,
+      CASE WHEN calories IS NULL THEN 'calories' END) FROM ({ok(O.o_moves_activities())}) e
+    UNION ALL SELECT source, sub_type, CASE WHEN calories IS NULL THEN 'calories' ELSE '' END
+      FROM ({ok(O.o_moves_summary())}) f
+    UNION ALL SELECT source, sub_type, 'heart_rate,blood_pressure' FROM ({ok(O.o_manual()['glucose'])}) g
+    UNION ALL SELECT source, sub_type, 'heart_rate' FROM ({ok(O.o_manual()['blood_pressure'])}) h"""
+
+
+EXPECTED_LAYOUTS = ("gyro_steps", "gyro_workouts", "gyro_vitals", "sleep_quality", "moves_activities",
+                    "moves_summary", "manual_glucose", "manual_blood_pressure")
 
 
 @q("dq_expected_fields", lambda: f"""
-    SELECT sub_type, missing_fields, count(*) AS records FROM ({_dq_expected_sql()}) e GROUP BY 1, 2""")
+    SELECT sub_type, missing_fields, count(*) AS records FROM ({_expected_sql()}) e GROUP BY 1, 2""")
 def dq_expected_fields(spark):
-    c = DQ.dq_expected_fields(recs(spark, *DQ_LAYOUTS))
+    c = DQ.dq_expected_fields(recs(spark, *EXPECTED_LAYOUTS))
     return c.groupBy("sub_type", F.array_join("missing_schema", ",").alias("missing_fields")).agg(
         F.count(F.lit(1)).alias("records"))
 
 
 @q("dq_required_fields", lambda: f"""
-    SELECT source, 0::BIGINT AS missing FROM ({ALL_OK()}) t GROUP BY 1""")
+    SELECT source, count(*) FILTER (WHERE {_DAMAGED_SQL}) AS missing FROM ({ALL_OK()}) t GROUP BY 1""")
 def dq_required_fields(spark):
-    c = DQ.dq_required_fields(recs(spark))
+    c = DQ.dq_required_fields(_damaged(spark))
     return c.groupBy("source").agg(F.count_if(F.size("missing_fields") > 0).alias("missing"))
 
 
 @q("dq_timestamp_format", lambda: f"""
-    SELECT source, 0::BIGINT AS invalid FROM ({ALL_OK()}) t GROUP BY 1""")
+    SELECT source, count(*) FILTER (WHERE NOT COALESCE(
+             regexp_full_match(ts_text, '\\d{{2}}/\\d{{2}}/\\d{{4}} \\d{{2}}:\\d{{2}}:\\d{{2}}')
+             AND try_strptime(ts_text, '%m/%d/%Y %H:%M:%S') IS NOT NULL, false)) AS invalid
+    FROM ({O.all_core()}) t GROUP BY 1""")
 def dq_timestamp_format(spark):
-    c = DQ.dq_timestamp_format(recs(spark))
+    """Timestamp texts as exported, rejects included, that are not in the canonical format."""
+    c = DQ.dq_timestamp_format(fin(spark), "ts_text")
     return c.groupBy("source").agg(F.count_if(~F.col("timestamp_ok")).alias("invalid"))
 
 
 @q("dq_summary", lambda: f"""
-    SELECT source, count(*) AS total_records, count(*) AS valid_records, 0::BIGINT AS invalid_records,
-           0::BIGINT AS date_issues, count(*) FILTER (WHERE missing_fields <> '') AS schema_violations
-    FROM ({_dq_expected_sql()}) e GROUP BY 1""")
+    SELECT source, count(*) AS total_records, count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) AS valid_records,
+           count(*) FILTER (WHERE {_DAMAGED_SQL}) AS invalid_records,
+           count(*) FILTER (WHERE {_DAMAGED_SQL}) AS date_issues FROM ({ALL_OK()}) t GROUP BY 1""")
 def dq_summary(spark):
-    return DQ.dq_summary(recs(spark, *DQ_LAYOUTS))
+    return DQ.dq_summary(_damaged(spark)).drop("schema_violations")
 
 
-@q("dq_score_records", lambda: f"""
-    SELECT count(*) AS n, count(*) AS ts_ok, count(*) AS schema_ok, 100::BIGINT AS score
-    FROM ({ALL_OK()}) t""")
+def _score_sql():
+    return f"""
+    SELECT source, count(*) AS n, count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) AS ts_ok,
+           count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) AS schema_ok,
+           CAST(round(count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) / count(*) * 30
+                      + count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) / count(*) * 40
+                      + count(*) FILTER (WHERE NOT {_DAMAGED_SQL}) / count(*) * 30) AS BIGINT) AS score
+    FROM ({ALL_OK()}) t GROUP BY source"""
+
+
+@q("dq_score_records", _score_sql)
 def dq_score_records(spark):
-    return DQ.dq_score_records(recs(spark))
+    return DQ.dq_score_records(_damaged(spark), by=("source",))
+
 
+_GRADE = """CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 80 THEN 'production_ready'
+                WHEN score >= 70 THEN 'needs_improvement' ELSE 'not_production_ready' END"""
 
-@q("dq_grade", lambda: "SELECT 100::BIGINT AS score, 'excellent' AS grade")
+
+@q("dq_grade", lambda: f"SELECT source, score, {_GRADE} AS grade FROM ({_score_sql()}) s")
 def dq_grade(spark):
-    s = DQ.dq_score_records(recs(spark))
-    return s.select("score", DQ.dq_grade(F.col("score")).alias("grade"))
+    s = DQ.dq_score_records(_damaged(spark), by=("source",))
+    return s.select("source", "score", DQ.dq_grade(F.col("score")).alias("grade"))
 
 
 def _recognition_sql():
@@ -483,28 +613,54 @@ def dq_recognition(spark):
     return _recognition(spark)
 
 
+def _discovery_sql():
+    return f"""
+    SELECT count(*) FILTER (WHERE bad) AS errors, count(DISTINCT source) FILTER (WHERE some_ok) AS ok_sources
+    FROM (SELECT source, origin, bool_or(NOT ok) AS bad, bool_or(ok) AS some_ok
+          FROM ({O.all_core()}) u GROUP BY source, origin) f"""
+
+
 @q("dq_score_discovery", lambda: f"""
-    SELECT *, CAST(round(recognition_rate * 40 + 30 + 30) AS BIGINT) AS score,
-           CASE WHEN round(recognition_rate * 40 + 60) >= 90 THEN 'excellent'
-                WHEN round(recognition_rate * 40 + 60) >= 80 THEN 'production_ready'
-                WHEN round(recognition_rate * 40 + 60) >= 70 THEN 'needs_improvement'
-                ELSE 'not_production_ready' END AS grade
-    FROM ({_recognition_sql()}) r""")
+    SELECT total_files, recognized_files, unrecognized_files, recognition_rate, score, {_GRADE} AS grade
+    FROM (SELECT r.*, CAST(round(recognition_rate * 40
+             + (1 - least(errors, total_files) / greatest(total_files, 1)) * 30
+             + least(ok_sources, 6) / 6 * 30) AS BIGINT) AS score
+          FROM ({_recognition_sql()}) r, ({_discovery_sql()}) d) s""")
 def dq_score_discovery(spark):
-    return DQ.dq_score_discovery(_recognition(spark), errors=0, processors_ok=6)
+    """Errors are files with rejects, and a processor is fine if it made a record."""
+    found = DQ.dq_processor_profile(fin(spark)).agg(
+        F.count_if(F.col("errors") > 0), F.count_distinct(F.when(F.col("records") > 0, F.col("source")))).first()
+    return DQ.dq_score_discovery(_recognition(spark), F.least(F.lit(found[0]), F.col("total_files")),
+                                 min(found[1], PROCESSOR_COUNT))
+
+
+def _metrics_sql():
+    """Per source: its share of the recognised files, its score, its files without a record."""
+    return f"""
+    SELECT s.source, s.score, COALESCE(c.files, 0) / (SELECT count(*) FROM ({inventory_sql()}) i) AS rate,
+           COALESCE(f.failed, 0) AS failed
+    FROM ({_score_sql()}) s
+    LEFT JOIN (SELECT source, count(*) AS files FROM ({claimed_sql()}) x GROUP BY 1) c ON s.source = c.source
+    LEFT JOIN (SELECT source, count(*) AS failed FROM (
+        SELECT source, origin FROM ({O.all_core()}) u GROUP BY source, origin HAVING NOT bool_or(ok)) y
+        GROUP BY 1) f ON s.source = f.source"""
 
 
 @q("dq_recommendations", lambda: f"""
-    SELECT priority, issue FROM (
-      SELECT 'HIGH' AS priority, 'Low file recognition rate' AS issue, recognition_rate * 100 < 50 AS hit
-      FROM ({_recognition_sql()}) r
-      UNION ALL SELECT 'HIGH', 'Data quality below enterprise standard', false
-      UNION ALL SELECT 'MEDIUM', 'Some processors failed', false) t WHERE hit""")
+    SELECT source, priority, issue FROM (
+      SELECT source, 'HIGH' AS priority, 'Low file recognition rate' AS issue, rate * 100 < 50 AS hit
+      FROM ({_metrics_sql()}) r
+      UNION ALL SELECT source, 'HIGH', 'Data quality below enterprise standard', score < 80 FROM ({_metrics_sql()}) r
+      UNION ALL SELECT source, 'MEDIUM', 'Some processors failed', failed > 0 FROM ({_metrics_sql()}) r) t WHERE hit""")
 def dq_recommendations(spark):
-    rec = _recognition(spark)
-    score = DQ.dq_score_records(recs(spark)).select("score")
-    base = rec.crossJoin(score)
-    return DQ.dq_recommendations(F.col("recognition_rate"), F.col("score"), F.lit(0), base)
+    inv = _inventory_spark(spark)
+    total = max(1, inv.count())
+    share = files.discover(inv, "/exports").groupBy("source").agg((F.count(F.lit(1)) / total).alias("rate"))
+    failed = (DQ.dq_processor_profile(fin(spark)).filter(F.col("records") == 0)
+              .groupBy("source").agg(F.count(F.lit(1)).alias("failed")))
+    base = (DQ.dq_score_records(_damaged(spark), by=("source",)).join(share, "source", "left")
+            .join(failed, "source", "left").fillna(0, ["rate", "failed"]))
+    return DQ.dq_recommendations(F.col("rate"), F.col("score"), F.col("failed"), base, keep=("source",))
 
 
 @q("dq_processor_profile", lambda: f"""
@@ -518,5 +674,3 @@ def dq_processor_profile(spark):
     return p.select("source", F.regexp_extract("origin", r"([^/]*)$", 1).alias("origin"),
                     "records", "errors", "status")
 
-
-__all__ = ["AG", "coach", "manual", "finalize", "valid"]

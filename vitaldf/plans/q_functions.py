@@ -8,7 +8,7 @@ from vitaldf import functions as V
 from vitaldf.operators import tables as TB
 from vitaldf.plans import oracle as O
 from vitaldf.plans import testdata as TD
-from vitaldf.plans.registry import at, day_out, fin, mc, mu, mv, q, recs, tm, ts_out
+from vitaldf.plans.registry import at, day_out, mc, mu, mv, q, recs, ts_out
 
 D = TD.DUCK
 
@@ -366,6 +366,3 @@ def array_to_json(spark):
     FROM a""")
 def record_id(spark):
     return recs(spark, "gyro_steps").select("id")
-
-
-__all__ = ["tm"]

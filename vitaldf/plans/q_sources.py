@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitaldf.plans import oracle as O
-from vitaldf.plans.registry import (GYRO, MANUAL, SLEEP, LAYOUTS, at, day_out, mc, mu, mv, q,
+from vitaldf.plans.registry import (MANUAL, SLEEP, at, day_out, mc, mu, mv, q,
                                     recs, tm, ts_out)
 
 
@@ -355,6 +355,3 @@ def norm_moves_place_json(spark):
     SELECT source, count(*) AS records FROM ({O.all_core()}) u WHERE ok GROUP BY source""")
 def union_sources(spark):
     return recs(spark).groupBy("source").agg(F.count(F.lit(1)).alias("records"))
-
-
-__all__ = ["LAYOUTS"]

@@ -7,15 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitaldf import functions as V
 from vitaldf.operators import aggregates as AG
 from vitaldf.operators import query as QY
 from vitaldf.operators import store as ST
 from vitaldf.operators import tables as TB
-from vitaldf.operators.records import filter_blank_rows, rejects, valid
+from vitaldf.operators.records import filter_blank_rows
 from vitaldf.plans import oracle as O
 from vitaldf.plans import testdata as TD
-from vitaldf.plans.registry import GYRO, fin, q, recs, ts_out
+from vitaldf.plans.registry import fin, q, recs, ts_out
 from vitaldf.schema import APPLE_TYPES
 from vitaldf.sources import apple
 
@@ -233,29 +232,22 @@ def map_health_records(spark):
 def drop_empty_detail(spark):
     t = TB.map_sleep(recs(spark, "sleep_simple", "sleep_generic"))
     kept = TB.drop_empty_detail(t.drop("duration_confidence"))
-    return kept.agg(F.count(F.lit(1)).alias("kept")).crossJoin(
-        t.agg(F.count(F.lit(1)).alias("total")))
+    both = kept.select(F.lit(1).alias("k"), F.lit(0).alias("t")).unionByName(
+        t.select(F.lit(0).alias("k"), F.lit(1).alias("t")))
+    return both.agg(F.sum("k").alias("kept"), F.sum("t").alias("total"))
 
 
 def _table_counts_sql(where: str = "TRUE") -> str:
     base = f"SELECT * FROM ({ALL_OK()}) u WHERE {where}"
-    sym = "source = 'manual_health' AND sub_type IN ('migraine', 'symptoms', 'pain')"
-    rows = [("health_records", "TRUE"), ("fitness_metrics", "data_type = 'fitness'"),
-            ("health_vitals", "data_type = 'health'"), ("sleep_sessions", "data_type = 'sleep'"),
-            ("habits", "data_type = 'habits'"), ("symptoms", sym),
-            ("medications", "source = 'manual_health' AND sub_type = 'medication'"),
-            ("location_data", "data_type = 'location'")]
     parts = [f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE {c}) AS row_count FROM ({base}) b"
-             for n, c in rows]
+             for n, c in _TABLE_CONDITIONS]
     return " UNION ALL ".join(parts)
 
 
 @q("route_records", lambda: _table_counts_sql("source = 'gyroscope'"))
 def route_records(spark):
     gyro = recs(spark).filter(F.col("source") == "gyroscope")  # partition pruning
-    return AG.agg_table_counts(TB.route_records(gyro)).unionByName(
-        spark.createDataFrame([(n, 0) for n in ("habits", "symptoms", "medications")],
-                              "table_name string, row_count bigint"))
+    return AG.agg_table_counts(TB.route_records(gyro))
 
 
 # ---------------------------------------------------------------- filters --
@@ -325,10 +317,18 @@ def filter_dynamic(spark):
     return r.groupBy("sub_type").agg(F.count(F.lit(1)).alias("records"))
 
 
-@q("exists_record", lambda: f"SELECT count(*) AS matched FROM ({ok(O.o_gyro_steps())}) t")
+@q("exists_record", lambda: f"""
+    SELECT found, count(*) AS candidates FROM (
+      SELECT true AS found FROM ({ok(O.o_gyro_steps())}) a
+      UNION ALL SELECT false FROM ({ok(O.o_gyro_steps())}) b) t GROUP BY 1""")
 def exists_record(spark):
-    cand = recs(spark, "gyro_steps").select("id")
-    return QY.exists_record(cand, recs(spark)).agg(F.count(F.lit(1)).alias("matched"))
+    """Every step record's id, and as many ids that no record has."""
+    ids = recs(spark, "gyro_steps").select("id")
+    cand = ids.unionByName(ids.select(F.concat(F.lit("no-"), "id").alias("id")))
+    hit = QY.exists_record(cand, recs(spark)).withColumn("found", F.lit(True))
+    every = cand.select("id", F.lit(False).alias("found")).unionByName(hit)
+    return (every.groupBy("id").agg(F.max("found").alias("found")).groupBy("found")
+            .agg(F.count(F.lit(1)).alias("candidates")))
 
 
 @q("exists_any", lambda: f"SELECT count(*) > 0 AS has_records FROM ({ALL_OK()}) t")
@@ -408,11 +408,22 @@ def sort_report(spark):
     return _report(spark, ordered=True).select("timestamp", "source", "sub_type")
 
 
+_TABLE_CONDITIONS = [
+    ("health_records", "TRUE"), ("fitness_metrics", "data_type = 'fitness'"),
+    ("health_vitals", "data_type = 'health'"), ("sleep_sessions", "data_type = 'sleep'"),
+    ("habits", "data_type = 'habits'"),
+    ("symptoms", "source = 'manual_health' AND sub_type IN ('migraine', 'symptoms', 'pain')"),
+    ("medications", "source = 'manual_health' AND sub_type = 'medication'"),
+    ("location_data", "data_type = 'location'")]
+
+
 @q("join_parent_child", lambda: " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, 0::BIGINT AS orphans" for n in TB.MAPPERS if n != "health_records"))
+    f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE day(ts) = 13 AND {c}) AS orphans "
+    f"FROM ({ALL_OK()}) t" for n, c in _TABLE_CONDITIONS if n != "health_records"))
 def join_parent_child(spark):
+    """Detail rows without a parent, where the parents of every 13th day are missing."""
     t = TB.route_records(recs(spark))
-    parent = t["health_records"]
+    parent = t["health_records"].filter(F.dayofmonth("timestamp") != 13)
     parts = [QY.orphans(child, parent).agg(F.count(F.lit(1)).alias("orphans"))
              .select(F.lit(name).alias("table_name"), "orphans")
              for name, child in t.items() if name != "health_records"]
@@ -579,6 +590,12 @@ def agg_habit_categories(spark):
     return AG.agg_habit_categories(recs(spark, "habits"))
 
 
+@q("agg_habit_frequency", lambda: f"""
+    SELECT habit_name, count(*) AS checkins FROM ({ok(O.o_habits())}) t GROUP BY 1""")
+def agg_habit_frequency(spark):
+    return AG.agg_habit_frequency(recs(spark, "habits"))
+
+
 @q("agg_type_distribution", lambda: f"""
     SELECT {O.apple_type_case('type')} AS data_type, count(*) AS record_count
     FROM ({O.o_xml_attrs()}) x WHERE tag = 'Record' AND type IS NOT NULL GROUP BY 1""")
@@ -652,13 +669,17 @@ _U1 = "gyroscope-u1-steps-export.csv"
 
 @q("dedupe_upsert", lambda: f"""
     SELECT source, sub_type, count(*) AS records FROM (
-      SELECT source, sub_type FROM ({ok(O.o_gyro_steps())}) a
+      SELECT source, CASE WHEN origin = '{_U1}' THEN 'steps_corrected' ELSE sub_type END AS sub_type
+      FROM ({ok(O.o_gyro_steps())}) a
       UNION ALL SELECT source, sub_type FROM ({ok(O.o_gyro_sleep())}) b) t GROUP BY 1, 2""")
 def dedupe_upsert(spark):
+    """A batch that holds one file's records twice, the corrected ones later."""
     existing = recs(spark, "gyro_steps")
-    incoming = recs(spark, "gyro_steps").filter(F.col("origin") == _U1).unionByName(
-        recs(spark, "gyro_sleep"))
-    return ST.dedupe_upsert(existing, incoming).groupBy("source", "sub_type").agg(
+    again = existing.filter(F.col("origin") == _U1)
+    incoming = (again.withColumn("batch_order", F.lit(1))
+                .unionByName(again.withColumns({"sub_type": F.lit("steps_corrected"), "batch_order": F.lit(2)}))
+                .unionByName(recs(spark, "gyro_sleep").withColumn("batch_order", F.lit(1))))
+    return ST.dedupe_upsert(existing, incoming, order="batch_order").groupBy("source", "sub_type").agg(
         F.count(F.lit(1)).alias("records"))
 
 
@@ -685,9 +706,13 @@ def delete_by_source(spark):
     return counts
 
 
-@q("duplicate_ids", lambda: "SELECT 'none' AS id, 0::BIGINT AS copies WHERE false")
+@q("duplicate_ids", lambda: f"""
+    SELECT 2::BIGINT AS copies, count(*) AS ids FROM ({ok(O.o_gyro_steps())}) t WHERE origin = '{_U1}'""")
 def duplicate_ids(spark):
-    return AG.duplicate_ids(recs(spark))
+    """Ids of a record set into which one file's records were appended again."""
+    r = recs(spark, "gyro_steps")
+    again = r.unionByName(r.filter(F.col("origin") == _U1))
+    return AG.duplicate_ids(again).groupBy("copies").agg(F.count(F.lit(1)).alias("ids"))
 
 
 # ---------------------------------------------------------------- sorts ----
@@ -707,6 +732,3 @@ def sort_limit_query(spark):
 def sample_first_n(spark):
     s = QY.sample_first_n(recs(spark), ["source"], ["timestamp", "id"], 5)
     return s.select("source", ts_out().alias("timestamp"))
-
-
-__all__ = ["rejects", "valid", "V"]

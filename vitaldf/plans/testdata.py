@@ -87,7 +87,7 @@ def sleep_quality_sql(d: Dialect) -> str:
            {d.s(d.idiv(mins, '60'))} || ':' || lpad({d.s(f'{mins} % 60')}, 2, '0') AS "Time in bed",
            CASE o_orderpriority WHEN '1-URGENT' THEN ':)' WHEN '2-HIGH' THEN ':|' ELSE '' END AS "Wake up",
            CASE WHEN o_orderstatus = 'F' THEN 'Stressful day' ELSE '' END AS "Sleep Notes"
-    FROM ({_sleep_base(d)}) b WHERE o_orderkey % 3 = 0"""
+    FROM ({_sleep_base(d)}) b"""
 
 
 def sleep_simple_sql(d: Dialect) -> str:
@@ -97,7 +97,7 @@ def sleep_simple_sql(d: Dialect) -> str:
            {_ts_text(d, 'start_ts', 'o_orderkey')} AS start_time,
            {_ts_text(d, end, 'o_orderkey')} AS end_time,
            CASE WHEN o_custkey % 2 = 0 THEN 'healthkit' ELSE '' END AS service
-    FROM ({_sleep_base(d)}) b WHERE o_orderkey % 3 = 1"""
+    FROM ({_sleep_base(d)}) b"""
 
 
 def sleep_detailed_sql(d: Dialect) -> str:
@@ -112,7 +112,7 @@ def sleep_detailed_sql(d: Dialect) -> str:
            CASE WHEN o_orderkey % 4 = 2 THEN '' ELSE {d.s(d.idiv(mins, '5'))} END AS rem,
            {d.s('o_custkey % 3')} AS awake,
            {d.s('o_orderkey % 5')} AS wake_ups
-    FROM ({_sleep_base(d)}) b WHERE o_orderkey % 3 = 2"""
+    FROM ({_sleep_base(d)}) b"""
 
 
 # ---------------------------------------------------------------- steps ----
@@ -131,32 +131,32 @@ def steps_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- vitals ---
 
-def _events(d: Dialect, kind: str, event_type: str, cols: str, bad_every: int = 0) -> str:
+def _events(d: Dialect, kind: str, cols: str, bad_every: int = 0) -> str:
     time = d.fmt("ts", "ymd-hms")
     if bad_every:  # an impossible calendar date every n-th event -> reject
         time = f"CASE WHEN event_id % {bad_every} = 0 THEN '2024-02-31-10:00:00' ELSE {time} END"
     return f"""
     SELECT 'gyroscope-u' || {d.s('user_id % 5')} || '-{kind}-export.csv' AS origin,
            {time} AS time, {cols}
-    FROM events WHERE event_type = '{event_type}'"""
+    FROM events"""
 
 
 def vitals_sql(d: Dialect) -> dict[str, str]:
     v = d.s(d.i("value"))
     svc = "CASE WHEN user_id % 2 = 0 THEN 'healthkit' ELSE '' END AS service"
     return {
-        "bp": _events(d, "bp", "error", f"""
+        "bp": _events(d, "bp", f"""
             {d.s('90 + ' + d.i('value') + ' % 60')} AS systolic,
             CASE WHEN event_id % 7 = 0 THEN '0' ELSE {d.s('60 + user_id % 30')} END AS diastolic,
             {svc}""", bad_every=97),
-        "glucose": _events(d, "glucose", "click", f"""
+        "glucose": _events(d, "glucose", f"""
             CASE WHEN event_id % 11 = 0 THEN ''
                  WHEN event_id % 4 = 0 THEN {v} || ' mg/dL' ELSE {v} END AS glucose, {svc}"""),
-        "hrv": _events(d, "hrv", "signup", f"{d.s(d.i('value * 10'))} AS hrv, {svc}"),
-        "rhr": _events(d, "rhr", "view", f"""
+        "hrv": _events(d, "hrv", f"{d.s(d.i('value * 10'))} AS hrv, {svc}"),
+        "rhr": _events(d, "rhr", f"""
             CASE WHEN event_id % 3 = 0 THEN '' ELSE {d.s('40 + ' + d.i('value') + ' % 50')} END AS rhr,
             {d.s('50 + user_id % 40')} AS heart_rate"""),
-        "mood": _events(d, "mood", "purchase", f"""
+        "mood": _events(d, "mood", f"""
             {d.s('1 + event_id % 5')} AS mood,
             CASE WHEN event_id % 2 = 0 THEN 'ok' ELSE '' END AS notes, {svc}"""),
     }
@@ -187,13 +187,12 @@ def habits_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- manual ---
 
-def _manual(d: Dialect, type_no: int, file: str, cols: str) -> str:
+def _manual(d: Dialect, file: str, cols: str) -> str:
     date = (f"'2020-' || lpad({d.s('doc.doc_id % 12 + 1')}, 2, '0') || '-' || "
             f"lpad({d.s('doc.doc_id % 28 + 1')}, 2, '0')")
     return f"""
     SELECT 'manual/' || doc.source || '/{file}' AS origin, {date} AS date, {cols}
-    FROM documents doc LEFT JOIN labels lab ON doc.doc_id = lab.doc_id
-    WHERE doc.doc_id % 9 = {type_no}"""
+    FROM documents doc LEFT JOIN labels lab ON doc.doc_id = lab.doc_id"""
 
 
 def manual_sql(d: Dialect) -> dict[str, str]:
@@ -201,29 +200,29 @@ def manual_sql(d: Dialect) -> dict[str, str]:
            "WHEN lab.quality = 1 THEN 'L' ELSE 'M' END")
     n = "doc.n_chars"
     return {
-        "migraine": _manual(d, 0, "migraine_log.csv",
+        "migraine": _manual(d, "migraine_log.csv",
                             f"{sev} AS severity, {d.s(f'{n} % 12')} AS duration_hours"),
-        "symptoms": _manual(d, 1, "symptoms.csv", f"""
+        "symptoms": _manual(d, "symptoms.csv", f"""
             CASE doc.lang WHEN 'en' THEN 'nausea' WHEN 'fr' THEN 'fatigue' ELSE 'dizziness' END AS symptom,
             {d.s(f'{n} % 10')} || '/10' AS intensity,
             {d.s(f'{n} % 90')} AS duration_minutes"""),
-        "medication": _manual(d, 2, "medication.csv", f"""
+        "medication": _manual(d, "medication.csv", f"""
             doc.source AS medicine, {d.s(f'{n} % 500')} || 'mg' AS dose,
             {d.s(f'1 + {n} % 3')} AS times_per_day"""),
-        "mood": _manual(d, 3, "mood.csv", f"""
+        "mood": _manual(d, "mood.csv", f"""
             CASE WHEN lab.quality = 1 THEN 'good' ELSE 'flat' END AS feeling,
             {d.s(f'{n} % 10')} AS rating"""),
-        "pain": _manual(d, 4, "pain_diary.csv", f"""
+        "pain": _manual(d, "pain_diary.csv", f"""
             CASE doc.lang WHEN 'en' THEN 'back' ELSE 'knee' END AS body_part,
             {d.s(f'1 + {n} % 10')} AS pain_scale"""),
-        "weight": _manual(d, 5, "weight.csv", f"""
+        "weight": _manual(d, "weight.csv", f"""
             {d.s(f'20 + {n} % 150')} AS body_weight,
             CASE WHEN {n} % 4 = 0 THEN '' ELSE {d.s(f'18 + {n} % 15')} END AS bmi"""),
-        "blood_pressure": _manual(d, 6, "blood_pressure.csv", f"""
+        "blood_pressure": _manual(d, "blood_pressure.csv", f"""
             {d.s(f'100 + {n} % 50')} AS sys,
             CASE WHEN {n} % 5 = 0 THEN '' ELSE {d.s(f'60 + {n} % 30')} END AS dia"""),
-        "glucose": _manual(d, 7, "glucose.csv", f"{d.s(f'70 + {n} % 90')} || ' mg/dL' AS blood_sugar"),
-        "general": _manual(d, 8, "health_diary.csv", f"""
+        "glucose": _manual(d, "glucose.csv", f"{d.s(f'70 + {n} % 90')} || ' mg/dL' AS blood_sugar"),
+        "general": _manual(d, "health_diary.csv", f"""
             {d.s(f'{n} % 10')} AS energy,
             doc.lang AS "Note Text",
             {d.s(f'{n} % 1000')} AS "Steps Walked" """),
@@ -242,8 +241,7 @@ def visits_sql(d: Dialect) -> str:
            CASE WHEN o.o_orderkey % 10 = 0 THEN '' ELSE {d.fmt(end, 'ymd_hms')} END AS "End Time",
            {d.s('c.c_custkey % 180 - 90')} || '.5' AS "Latitude",
            {d.s('c.c_nationkey * 7 - 90')} || '.25' AS "Longitude"
-    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-    WHERE o.o_orderkey % 4 = 0"""
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
 
 
 def moves_activities_sql(d: Dialect) -> str:
@@ -261,7 +259,7 @@ def moves_activities_sql(d: Dialect) -> str:
            {d.s(d.idiv(f'{dur} * 3', '600'))} || '.25' AS "Distance (mi)",
            CASE WHEN o_orderkey % 4 = 2 THEN '' ELSE {d.s(f'{dur} * 2')} END AS "Steps",
            {d.s(d.idiv(dur, '10'))} AS "Calories"
-    FROM orders WHERE o_orderkey % 4 = 1 OR o_orderkey % 8 = 2"""
+    FROM orders"""
 
 
 def moves_places_sql(d: Dialect) -> str:
@@ -335,7 +333,7 @@ def moves_json_activities_sql(d: Dialect) -> str:
                 WHEN 'error' THEN '' ELSE 'cycling' END AS activity,
            CAST(event_id % 3600 AS DOUBLE) AS duration,
            CAST({d.i('value')} AS DOUBLE) AS distance
-    FROM events WHERE event_id % 2 = 0"""
+    FROM events"""
 
 
 # ---------------------------------------------------------------- inventory
@@ -519,7 +517,7 @@ def workouts_sql(d: Dialect) -> str:
            CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'session ' || {d.s('o_orderkey % 97')} END AS name,
            'gyroscope' AS service,
            CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE {d.s(d.i('o_totalprice / 100'))} END AS calories
-    FROM orders WHERE o_orderkey % 4 = 3"""
+    FROM orders"""
 
 
 def gyro_sleep_sql(d: Dialect) -> str:
@@ -530,7 +528,7 @@ def gyro_sleep_sql(d: Dialect) -> str:
            {d.fmt(start, 'ymd-hms')} AS start_time,
            {d.fmt(end, 'ymd-hms')} AS end_time,
            CASE WHEN o_orderkey % 2 = 0 THEN 'healthkit' ELSE 'manual' END AS service
-    FROM orders WHERE o_orderkey % 5 = 4"""
+    FROM orders"""
 
 
 def sleep_generic_sql(d: Dialect) -> str:
@@ -560,7 +558,7 @@ def moves_storyline_csv_sql(d: Dialect) -> str:
            CASE WHEN o_orderkey % 25 = 0 THEN '' ELSE {d.fmt(start, 'ymd_hms')} END AS "Start",
            {d.fmt(d.add_s(start, '900'), 'ymd_hms')} AS "End",
            '900' AS "Duration"
-    FROM orders WHERE o_orderkey % 8 = 5"""
+    FROM orders"""
 
 
 def moves_summary_sql(d: Dialect) -> str:
@@ -571,7 +569,7 @@ def moves_summary_sql(d: Dialect) -> str:
            {d.s(d.i('l_quantity'))} || '.5' AS "Distance",
            CASE WHEN l_linenumber = 2 THEN '' ELSE {d.s(d.i('l_extendedprice / 100'))} END AS "Calories",
            {d.s('l_linenumber * 600')} AS "Duration"
-    FROM lineitem WHERE l_linenumber = 1 OR l_linenumber = 2"""
+    FROM lineitem"""
 
 
 def moves_places_json_sql(d: Dialect) -> str:

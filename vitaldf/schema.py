@@ -30,6 +30,7 @@ PRE_RECORD = T.StructType([
     T.StructField("symptoms", T.ArrayType(T.StringType())),
     T.StructField("location", LOCATION),
     T.StructField("raw_data", T.StringType()),
+    T.StructField("problem", T.StringType()),
 ])
 
 # The normalised health record (one row per record, open fields in maps).

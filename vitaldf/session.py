@@ -43,8 +43,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     The location is read from the session (``spark.checkpoint.dir`` or the
-    SparkContext checkpoint dir).  Only when neither is set — local tests —
-    a folder is created and registered as the checkpoint dir.
+    SparkContext checkpoint dir).  Without one a cluster has no folder that
+    all executors see, so this raises; a local master gets one of its own.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         except Exception:  # noqa: BLE001 - unset conf raises on some versions
             base = None
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="vitaldf-ckpt-"))
         base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -10,6 +10,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vitaldf import functions as V
 from vitaldf.schema import ARCHIVE_EXTENSIONS, MANUAL_FILE_KEYWORDS
@@ -92,27 +93,41 @@ def anti_unrecognized(inventory: DataFrame, claimed: DataFrame) -> DataFrame:
     return inventory.join(claimed.select("path").distinct(), "path", "left_anti")
 
 
+#: lines of a file on which its delimiter is decided
+DELIMITER_LINES = 5
+
+
+def _occurrences(col: Column, mark: str) -> Column:
+    return F.length(col) - F.length(F.replace(col, F.lit(mark), F.lit("")))
+
+
 def sniff_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """First line of every file, its delimiter and whether it decodes as UTF-8.
 
-    Reads each file's first split only as far as Spark does; one row per
-    file comes back.
+    The delimiter is the more frequent one in the first five lines.  Every
+    line of every split counts for the encoding, so the answer does not
+    depend on how Spark splits a file.  One row per file comes back: a
+    window limited to five rows and a hash aggregate, both cut down before
+    their shuffle.
     """
-    lines = (spark.read.text(paths)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("pos"))
-             .filter(F.col("block") == 0))
-    first = lines.groupBy("path").agg(
-        F.min_by("value", "pos").alias("header"),
-        # text that did not decode as UTF-8 shows replacement characters
-        F.max((~F.is_valid_utf8("value")).cast("int")).alias("__bad"))
-    semi = F.length(F.col("header")) - F.length(F.replace(F.col("header"), F.lit(";"), F.lit("")))
-    comma = F.length(F.col("header")) - F.length(F.replace(F.col("header"), F.lit(","), F.lit("")))
-    return first.withColumns({
-        "delimiter": F.when(semi > comma, F.lit(";")).otherwise(F.lit(",")),
-        "encoding": F.when(F.col("__bad") == 1, F.lit("ISO-8859-1")).otherwise(F.lit("UTF-8")),
-    }).drop("__bad")
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"))
+    place = Window.partitionBy("path").orderBy("pos")
+    head = (lines.withColumn("pos", F.monotonically_increasing_id()).filter(F.col("block") == 0)
+            .withColumn("line_no", F.row_number().over(place))
+            .filter(F.col("line_no") <= DELIMITER_LINES)
+            .groupBy("path").agg(F.min_by("value", "line_no").alias("header"),
+                                 F.sum(_occurrences(F.col("value"), ";")).alias("semi"),
+                                 F.sum(_occurrences(F.col("value"), ",")).alias("comma")))
+    # text that did not decode as UTF-8 shows replacement characters
+    encoding = lines.groupBy("path").agg(
+        F.when(F.bool_and(F.is_valid_utf8("value")), F.lit("UTF-8"))
+        .otherwise(F.lit("ISO-8859-1")).alias("encoding"))
+    return head.join(encoding, "path").select(
+        "path", "header",
+        F.when(F.col("semi") > F.col("comma"), F.lit(";")).otherwise(F.lit(",")).alias("delimiter"),
+        "encoding")
 
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str, str], list[str]]:
@@ -139,33 +154,45 @@ def scan_text_lines(spark: SparkSession, paths) -> DataFrame:
             .withColumn("origin", F.col("_metadata.file_path")))
 
 
-def file_checksum(spark: SparkSession, paths, whole_file_limit: int = 128 << 20) -> DataFrame:
-    """(path, checksum) per file.
+def line_digests(lines: DataFrame) -> DataFrame:
+    """(path, lines, digest) from rows (path, block, pos, value): order-sensitive.
 
-    Files up to ``whole_file_limit`` bytes: MD5 of the content.  Larger
-    files (the binary reader caps a row at 2 GB) get an order-insensitive
-    line fingerprint computed in parallel from their text lines.
+    Each line's two 32-bit hashes are summed with the line's number as weight.
+    Inside a block the number is ``pos`` less the block's smallest, and blocks
+    are put in order afterwards, so a file is digested by many tasks and the
+    result is the same however it is split.
     """
-    inv = (spark.read.format("binaryFile").load(paths)
-           .select("path", "length", "modificationTime"))
-    small = [r["path"] for r in inv.filter(F.col("length") <= whole_file_limit)
-             .select("path").collect()]
-    large = [r["path"] for r in inv.filter(F.col("length") > whole_file_limit)
-             .select("path").collect()]
-    parts = []
-    if small:
-        parts.append(spark.read.format("binaryFile").load(small)
-                     .select("path", F.md5("content").alias("checksum")))
-    if large:
-        lines = spark.read.text(large).select(
-            F.col("_metadata.file_path").alias("path"),
-            F.xxhash64("value").alias("h"))
-        parts.append(lines.groupBy("path").agg(
-            F.concat(F.lit("xx:"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string"),
-                     F.lit(":"), F.count(F.lit(1)).cast("string")).alias("checksum")))
-    if not parts:
-        return spark.createDataFrame([], "path string, checksum string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    big = "decimal(38,0)"
+    md5 = F.md5("value")
+    halves = [F.conv(F.substring(md5, i, 8), 16, 10).cast(big) for i in (1, 9)]
+    pos = F.col("pos").cast(big)
+    blocks = lines.groupBy("path", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").cast(big).alias("first"),
+        *[F.sum(h).alias(f"h{i}") for i, h in enumerate(halves)],
+        *[F.sum((h * pos).cast(big)).alias(f"w{i}") for i, h in enumerate(halves)])
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast(big)
+    placed = blocks.withColumn("before", before)
+    sums = placed.groupBy("path").agg(F.sum("n").alias("lines"), *[
+        F.sum((F.col(f"w{i}") + (F.col("before") - F.col("first") + 1) * F.col(f"h{i}")).cast(big)).alias(f"s{i}")
+        for i in range(2)])
+    return sums.select("path", "lines", F.concat_ws(":", *[
+        F.col(f"s{i}").cast(big).cast("string") for i in range(2)]).alias("digest"))
+
+
+def file_checksum(spark: SparkSession, paths) -> DataFrame:
+    """(path, checksum) per file: MD5 over its length and its lines in order.
+
+    One scheme for every size; see :func:`line_digests`.
+    """
+    inv = (spark.read.format("binaryFile").load(paths).select("path", "length"))
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        # the row's place in its task; lines of one block are consecutive in it
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("pos"), "value")
+    bare = F.regexp_replace("path", _SCHEME, "")
+    digests = line_digests(lines).select(bare.alias("bare"), "lines", "digest")
+    return (inv.withColumn("bare", bare).join(digests, "bare", "left")
+            .select("path", F.md5(F.concat_ws(":", F.col("length").cast("string"),
+                                              F.coalesce("lines", F.lit(0)).cast("string"),
+                                              F.coalesce("digest", F.lit("0:0")))).alias("checksum")))

@@ -65,8 +65,11 @@ def _csv_parts(cols):
         return V.blank_to_null(c(name))
 
     dur = c(V.first_present_column(cols, DURATION_COLS))
-    dist = c(V.first_present_column(cols, DISTANCE_COLS))
-    return c, nb, dur, dist
+    name = V.first_present_column(cols, DISTANCE_COLS)
+    dist = c(name)
+    # metres are kept as they are, miles (also when no unit is named) converted
+    metres = V.float_prefix(dist) * (1.0 if name == "Distance (m)" else MILES_TO_METRES)
+    return c, nb, dur, V.metric_when(V.blank_to_null(dist).isNotNull(), metres, "meters", 0.8)
 
 
 def _activity(cols):
@@ -77,8 +80,7 @@ def _activity(cols):
         metrics={
             "duration": V.metric_when(V.blank_to_null(dur).isNotNull(),
                                       V.float_prefix(dur) / 60, "minutes", 0.8),
-            "distance": V.metric_when(V.blank_to_null(dist).isNotNull(),
-                                      V.float_prefix(dist) * MILES_TO_METRES, "meters", 0.8),
+            "distance": dist,
             "steps": V.metric_when(nb("Steps").isNotNull(), V.int_prefix(c("Steps")), "steps", 0.9),
             "calories": V.metric_when(nb("Calories").isNotNull(), V.float_prefix(c("Calories")),
                                       "calories", 0.7),
@@ -120,8 +122,7 @@ def _summary(cols):
         data_type="fitness", sub_type="daily_summary", ts=c("Date"),
         metrics={
             "steps": V.metric_when(nb("Steps").isNotNull(), V.int_prefix(c("Steps")), "steps", 0.9),
-            "distance": V.metric_when(V.blank_to_null(dist).isNotNull(),
-                                      V.float_prefix(dist) * MILES_TO_METRES, "meters", 0.8),
+            "distance": dist,
             "calories": V.metric_when(nb("Calories").isNotNull(), V.float_prefix(c("Calories")),
                                       "calories", 0.7),
             "active_duration": V.metric_when(V.blank_to_null(dur).isNotNull(),
@@ -288,22 +289,26 @@ def normalize_json(raw: DataFrame, kind: str) -> DataFrame:
 
 
 def normalize_storyline(df: DataFrame) -> DataFrame:
-    """Every place segment and every activity of every move segment."""
-    segs = df.select("origin", "occurrence",
+    """Every place segment and every activity of every move segment.
+
+    A record's raw text, which its id is made of, holds the whole item's hash
+    and both positions, so items that share a segment keep records apart.
+    """
+    item = F.sha2(F.to_json("segments"), 256)
+    segs = df.select("origin", "occurrence", item.alias("__item"),
                      F.posexplode(F.col("segments")).alias("__seg_pos", "__seg"))
     seg = F.col("__seg")
+    at = [F.col("__item").alias("item"), F.col("__seg_pos").alias("segment")]
     places = segs.filter((seg.getField("type") == "place") & seg.getField("place").isNotNull()
                          & V.blank_to_null(seg.getField("startTime")).isNotNull())
     place_item = F.struct(seg.getField("startTime").alias("startTime"),
                           seg.getField("endTime").alias("endTime"),
                           seg.getField("place").alias("place"))
-    p = _emit(places.withColumn("occurrence", F.col("occurrence") * 1_000_000 + F.col("__seg_pos")),
-              _place_json(place_item, F.to_json(seg)))
+    p = _emit(places, _place_json(place_item, F.to_json(F.struct(*at, seg.alias("value")))))
     moves = segs.filter((seg.getField("type") == "move") & seg.getField("activities").isNotNull())
-    acts = moves.select("origin", "occurrence", "__seg_pos",
+    acts = moves.select("origin", "occurrence", "__item", "__seg_pos",
                         F.posexplode(seg.getField("activities")).alias("__act_pos", "__act"))
     acts = acts.filter(V.blank_to_null(F.col("__act.startTime")).isNotNull())
-    a = _emit(acts.withColumn("occurrence", (F.col("occurrence") * 1_000_000
-                                             + F.col("__seg_pos")) * 1_000 + F.col("__act_pos")),
-              _activity_json(F.col("__act"), F.to_json(F.col("__act"))))
+    a = _emit(acts, _activity_json(F.col("__act"), F.to_json(F.struct(
+        *at, F.col("__act_pos").alias("activity"), F.col("__act").alias("value")))))
     return union_all([p, a])

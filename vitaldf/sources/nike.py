@@ -109,7 +109,7 @@ def normalize(raw: DataFrame) -> DataFrame:
 def explode_minutes(df: DataFrame) -> DataFrame:
     """One row per (series, position) value that is not zero."""
     series = df.filter(F.col("__date").isNotNull()).select(
-        "*", F.explode(F.col("metrics")).alias("__m"))
+        "*", F.posexplode(F.col("metrics")).alias("__series", "__m"))
     vals = series.filter(F.col("__m.values").isNotNull()).select(
         "*", F.posexplode(F.col("__m.values")).alias("__pos", "__val"))
     interval = V.or_default(F.col("__m.intervalMetric").cast("double"), 1).cast("bigint")
@@ -138,4 +138,5 @@ def minute_records(df: DataFrame) -> DataFrame:
                "interval_minutes": F.col("__interval")},
         raw=F.to_json(F.struct(F.col("__val").alias("originalValue"),
                                F.col("__m.metricType").alias("metricType"),
+                               F.col("__series").alias("series"),
                                F.col("__pos").alias("index")))))
