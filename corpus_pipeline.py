@@ -12,20 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaldf.llm import mixing, packing, quality, secret_scan, simhash
-from vitaldf.llm.common import read_table, saved, workers_find_package
+from vitaldf.llm.common import read_table, saved, make_ready
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the compression bands reject."""
-    workers_find_package(spark)
+    make_ready(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id."""
-    workers_find_package(spark)
+    make_ready(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -41,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of equal length in buckets, none across documents."""
-    workers_find_package(spark)
+    make_ready(spark)
     return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER)))
 
 

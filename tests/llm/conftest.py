@@ -38,8 +38,8 @@ def edge_docs(spark, edge_rows):
     """The edge rows, with extra columns named like those that operators use inside."""
     from pyspark.sql import functions as F
 
-    from vitaldf.llm.common import workers_find_package
-    workers_find_package(spark)
+    from vitaldf.llm.common import make_ready
+    make_ready(spark)
     return spark.createDataFrame(edge_rows, SCHEMA).select("*", *[F.lit("x").alias(c) for c in CLASHING])
 
 

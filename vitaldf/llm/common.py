@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from vitaldf.session import shared_dir
 
 
+ARROW_BATCH = "8m"
 #: the folder that holds the package
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver did.
+def make_ready(spark: SparkSession) -> None:
+    """What the operators need of a session.
 
-    On other machines it is installed, or sent with ``--py-files``.
+    Arrow batches are bounded by bytes, since texts may be long.  Python
+    workers on this machine import the package from where the driver did; on
+    other machines it is installed, or sent with ``--py-files``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
@@ -26,7 +30,7 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    workers_find_package(spark)
+    make_ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

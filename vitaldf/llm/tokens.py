@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: word parts kept; a full cache starts anew, which changes no result
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 18
 #: bytes of text that are split together (a longer text is so alone)
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 END_ID = 0
 #: a space between other white space (or at its end) belongs to a longer token
 _INNER_SPACE = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}] (?:[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]|$)"
@@ -87,8 +87,8 @@ class TextEncoder:
     def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts``, an end id after each, and where each text ends."""
         lists = pc.split_pattern(texts, " ")
-        ends = lists.offsets.to_numpy()[1:].astype(np.int64)
         first = lists.offsets.to_numpy()[:-1]
+        ends = lists.offsets.to_numpy()[1:]
         coded = lists.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.parts) > CACHE_WORDS:
@@ -96,27 +96,29 @@ class TextEncoder:
         table = [*map(self._word, distinct), packed([END_ID])]
         # a text's first word has no space before it
         table += [self.whole(w) for w in lists.flatten().take(pa.array(first)).to_pylist()]
-        at = coded.indices.to_numpy().astype(np.int64)
+        at = coded.indices.to_numpy().copy()
         at[first] = len(distinct) + 1 + np.arange(len(first))
         at = np.insert(at, ends, len(distinct))
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        starts = np.cumsum(sizes) - sizes
+        # positions fit 32 bits: a slice is small, and Arrow's strings end at 2 GB
+        sizes = np.fromiter(map(len, table), np.int32, len(table)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         lengths = sizes[at]
-        until = np.cumsum(lengths)
-        ids = np.frombuffer(b"".join(table), "<u4")[
-            np.repeat(starts[at] - until + lengths, lengths) + np.arange(until[-1])]
+        until = np.cumsum(lengths, dtype=np.int32)
+        place = np.arange(until[-1], dtype=np.int32)
+        place += np.repeat(starts[at] - until + lengths, lengths)
+        ids = np.frombuffer(b"".join(table), "<u4")[place]
         return ids, until[ends + np.arange(len(ends))]
 
     def documents(self, texts: pa.Array) -> Iterator[bytes]:
         """For each text (null: empty) its ids and the end id, little-endian unsigned 32-bit."""
         end = packed([END_ID])
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        texts = pc.fill_null(texts, "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < len(texts):
             before = sizes[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
-            part = texts.slice(at, to - at).cast(pa.string())
+            part = texts.slice(at, to - at)
             at = to
             odd = (pc.match_substring_regex(part, _INNER_SPACE).to_numpy(zero_copy_only=False)
                    if self.by_word else np.ones(len(part), bool))
@@ -129,6 +131,8 @@ class TextEncoder:
                     to_id = int(next(ends))
                     yield ids[start:to_id].tobytes()
                     start = to_id
+            del ids, part
+            pa.default_memory_pool().release_unused()
 
     def document(self, text: str | None) -> bytes:
         return next(self.documents(pa.array([text], pa.string())))
