@@ -21,6 +21,7 @@ from vitaldf.schema import PRE_RECORD, RECORD, REJECT
 
 META_COLS = ("origin", "occurrence")
 ID_SEP = "\u001f"
+COPIES_AT_ONCE = 1 << 14
 
 
 def header_cols(df: DataFrame) -> list[str]:
@@ -32,15 +33,17 @@ def with_occurrence(raw: DataFrame) -> DataFrame:
 
     Identical rows are counted with a hash aggregate whose partial
     (map-side) step collapses a hot duplicate before the shuffle, then the
-    copies are regenerated with ``explode(sequence(1, k))``.  No group is
-    ever buffered, however many copies it holds.
+    copies are regenerated, COPIES_AT_ONCE at a time.  No group is ever
+    buffered, however many copies it holds.
     """
     if "occurrence" in raw.columns:
         return raw
     keys = [F.col(f"`{c}`") for c in raw.columns]
     counted = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
-    return counted.select(
-        *keys, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))).alias("occurrence"))
+    first = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"), F.lit(COPIES_AT_ONCE))
+    return counted.select(*keys, "__copies", F.explode(first).alias("__first")).select(
+        *keys, F.explode(F.sequence("__first", F.least(
+            "__copies", F.col("__first") + (COPIES_AT_ONCE - 1)))).alias("occurrence"))
 
 
 def with_raw_json(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
