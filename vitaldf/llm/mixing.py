@@ -33,9 +33,8 @@ ALPHA = 0.5
 _DIGITS = 13
 
 
-def uniform(*parts: Column) -> Column:
-    """A number in (0, 1) from the MD5 of the parts."""
-    digest = F.md5(F.concat_ws(":", *parts))
+def uniform(digest: Column) -> Column:
+    """A number in (0, 1) from the first digits of an MD5."""
     return (F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") + 0.5) / float(16 ** _DIGITS)
 
 
@@ -95,14 +94,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     cdf, n, source = free_name(docs, "cdf"), free_name(docs, "n"), free_name(docs, "mixed_source")
     per_source = rates(docs, source_col, text_col, weights, alpha, epochs).select(
         F.col("source").alias(source), poisson_cdf(F.col("rate")).alias(cdf))
-    own = [F.lit(str(seed)), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")),
-           F.md5(text_or_empty(text_col))]
-    matched = docs.join(per_source, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(source)))
-    u = free_name(docs, "u")
-    counted = matched.withColumn(u, uniform(*own)).withColumn(
-        n, F.size(F.filter(cdf, lambda c: c < F.col(u))))
-    copies = counted.where(F.col(n) > 0).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in (copy_col, order_col)],
+    # made before the join, so that each text is hashed once
+    who, known = free_name(docs, "who"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
+    marked = docs.withColumn(who, F.md5(F.concat_ws(":", F.lit(str(seed)), known, F.md5(text_or_empty(text_col)))))
+    matched = marked.join(per_source, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(source)))
+    # the number is bound by the outer lambda and so made once a row, not once an array element
+    count = F.transform(F.array(uniform(F.col(who))), lambda u: F.size(F.filter(cdf, lambda c: c < u)))[0]
+    copies = matched.withColumn(n, count).where(F.col(n) > 0).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in (copy_col, order_col)], who,
         F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(copy_col))
-    return (copies.withColumn(order_col, F.md5(F.concat_ws(":", *own, F.col(copy_col).cast("string"))))
-            .repartitionByRange(order_col).sortWithinPartitions(order_col))
+    return (copies.withColumn(order_col, F.md5(F.concat_ws(":", who, F.col(copy_col).cast("string"))))
+            .drop(who).repartitionByRange(order_col).sortWithinPartitions(order_col))

@@ -76,14 +76,14 @@ p AS (SELECT source, j, rate, sum(CASE WHEN j = 0 THEN -rate ELSE ln(rate / j) E
       FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS j FROM r)),
 c AS (SELECT source, j, sum(exp(log_p)) OVER (PARTITION BY source ORDER BY j) AS cdf FROM p),
 l AS (SELECT source, list(cdf) AS cdf FROM c GROUP BY source),
-u AS (SELECT doc_id, source, text, {identity} AS identity,
-        (('0x' || substr(md5({identity}), 1, {digits}))::BIGINT + 0.5::DOUBLE) / pow(16.0::DOUBLE, {digits}) AS u
-      FROM documents),
+w AS (SELECT doc_id, source, text, md5({identity}) AS who FROM documents),
+u AS (SELECT *, (('0x' || substr(who, 1, {digits}))::BIGINT + 0.5::DOUBLE) / pow(16.0::DOUBLE, {digits}) AS u
+      FROM w),
 n AS (SELECT u.*, len(list_filter(l.cdf, lambda x: x < u.u)) AS n
       FROM u JOIN l ON u.source IS NOT DISTINCT FROM l.source),
-k AS (SELECT doc_id, source, strlen(coalesce(text, ''))::BIGINT AS n_bytes, identity,
+k AS (SELECT doc_id, source, strlen(coalesce(text, ''))::BIGINT AS n_bytes, who,
         unnest(range(0, n)) AS copy FROM n)
-SELECT doc_id, source, n_bytes, copy, md5(identity || ':' || copy) AS shuffle_key FROM k"""
+SELECT doc_id, source, n_bytes, copy, md5(who || ':' || copy) AS shuffle_key FROM k"""
 
 
 def _top_k() -> str:
