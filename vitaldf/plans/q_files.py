@@ -32,7 +32,7 @@ from vitaldf.streaming.incremental import incremental_batch, incremental_stream
 D = TD.DUCK
 R = O.orender
 CSV_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
-            "ignoreTrailingWhiteSpace": "false"}
+            "ignoreTrailingWhiteSpace": "false", "escape": '"'}
 
 
 def ok(sql: str) -> str:
@@ -229,7 +229,7 @@ def scan_encoding(spark):
     latin = docs.filter("latin").select(name.alias("origin"), F.col("doc_id").alias("no"), "note")
     other = docs.filter(~F.col("latin")).select(
         F.concat(F.lit("utf8_"), name).alias("origin"), F.col("doc_id").alias("no"), "note", "source")
-    opts = {"escape": '"', "quoteAll": "true"}
+    opts = {"quoteAll": "true"}
     paths = write_named(spark, latin, shared_dir(spark, "export-latin1"), "csv",
                         {**CSV_OPTS, **opts, "encoding": "ISO-8859-1"})
     paths += write_named(spark, other, shared_dir(spark, "export-utf8"), "csv", {**CSV_OPTS, **opts})

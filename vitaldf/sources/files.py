@@ -142,8 +142,11 @@ def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str,
 
 def read_csv_group(spark: SparkSession, paths: list[str], delimiter: str = ",",
                    encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV files sharing one header -> string columns + ``origin``."""
-    return (spark.read.option("header", True).option("sep", delimiter)
+    """Header CSV files sharing one header -> string columns + ``origin``.
+
+    A quote inside a quoted field is doubled, as the apps write it.
+    """
+    return (spark.read.option("header", True).option("sep", delimiter).option("escape", '"')
             .option("encoding", encoding).option("mode", "PERMISSIVE")
             .csv(paths).withColumn("origin", F.col("_metadata.file_path")))
 
