@@ -32,13 +32,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitaldf.llm import simhash
 from vitaldf.llm.common import saved, text_or_empty
 
 #: bounds of the fitted model: training rows of each label, and terms
 MAX_EXAMPLES = 2048
 MAX_TERMS = 256
-#: a term is used if it occurs in so many examples and its log odds ratio is so many standard errors
-MIN_EXAMPLES, MIN_Z = 5, 4.0
+#: a term is used if it occurs in so many examples, and if its likelihood ratio for the
+#: labels (G squared) exceeds what the best of as many unrelated terms reaches by this much
+MIN_EXAMPLES, MARGIN = 5, 8.0
 K = 15
 BLOCK = 64
 FOLDS = 5
@@ -173,8 +175,22 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> D
             .select("id", "c.*"))
 
 
+def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In how many of a task's documents each term is."""
+    n = np.zeros(0, np.int64)
+    for b in batches:
+        found = np.bincount(np.concatenate([np.zeros(0, np.int64), *b["terms"]]).astype(np.int64), minlength=len(n))
+        found[:len(n)] += n
+        n = found
+    yield pd.DataFrame({"t": np.arange(len(n), dtype=np.int32), "n": n}).loc[n > 0]
+
+
 def _examples(docs: DataFrame, train: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """Distinct terms and label of at most ``most`` training documents of each label."""
+    """Distinct terms and label of at most ``most`` training documents of each label.
+
+    Near copies count once, with their mean label, lest a passage that was
+    copied often pass for a sign of its label.
+    """
     spark = docs.sparkSession
     h = F.xxhash64("id")
     chosen = train.where("label = 1").orderBy(h, "id").limit(most).unionByName(
@@ -186,8 +202,13 @@ def _examples(docs: DataFrame, train: DataFrame, id_col: str, text_col: str, mos
     def distinct(column: pd.Series) -> pd.Series:
         return column.map(lambda t: sorted(set(text_terms(t))))
 
-    found = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    return saved(found.select("id", "label", "text", distinct("text").alias("terms")), "examples")
+    found = saved(simhash.with_fingerprint(
+        texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "fp"), "labelled_texts")
+    groups = simhash.fingerprint_groups(found.select("id", "fp"), "id").select("fp", "component_id")
+    means = found.join(groups, "fp").groupBy("component_id").agg(
+        (F.avg("label") >= 0.5).cast("int").alias("label"))
+    one = found.select("id", "text").join(means.withColumnRenamed("component_id", "id"), "id")
+    return saved(one.select("id", "label", "text", distinct("text").alias("terms")), "examples")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -202,15 +223,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     examples = _examples(docs, train, id_col, text_col, max_examples)
     held = dict(examples.groupBy("label").count().collect())
     pos, neg = float(held.get(1, 0)), float(held.get(0, 0))
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    c, d = F.lit(pos + 1) - a, F.lit(neg + 1) - b
-    z = (F.ln(a / c) - F.ln(b / d)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    terms = [r["term"] for r in examples.select("label", F.explode("terms").alias("term"))
-             .groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-             .where(F.col("a") + F.col("b") >= MIN_EXAMPLES).withColumn("z", z)
-             .where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "term").limit(max_terms).collect()]
+    seen = saved(examples.select("label", F.explode("terms").alias("term")).groupBy("term")
+                 .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+                 .where(F.col("a") + F.col("b") >= MIN_EXAMPLES), "term_labels")
+    both, total = F.col("a") + F.col("b"), pos + neg
+
+    def part(seen_with, of):  # one cell of the term's contingency table
+        return F.when(seen_with > 0, seen_with * F.ln(seen_with * total / of)).otherwise(0.0)
+
+    g2 = 2 * (part(F.col("a"), both * pos) + part(F.col("b"), both * neg)
+              + part(pos - F.col("a"), (total - both) * pos) + part(neg - F.col("b"), (total - both) * neg))
+    least = 2 * np.log(max(1, seen.count())) + MARGIN
+    terms = [r["term"] for r in seen.withColumn("g2", g2).where(F.col("g2") >= F.lit(float(least)))
+             .orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
     counted = saved(_counted(docs, id_col, text_col, terms), "term_counts")
-    df = dict(counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect())  # at most max_terms
+    df = dict(counted.select("terms").mapInPandas(_document_counts, "t int, n long")
+              .groupBy("t").agg(F.sum("n")).collect())  # at most max_terms rows, also of each task
     n = docs.count()
     idf = np.array([np.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(terms))])
     sample = [(r["id"], r["label"], dict(zip(r["terms"], r["counts"], strict=True)))
