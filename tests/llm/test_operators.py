@@ -260,6 +260,50 @@ def test_toxicity_edge_rows(spark, edge_docs, edge_rows, no_docs):
     assert toxicity.score(model, counted).count() == 0
 
 
+def test_toxicity_cosines_are_over_all_terms(spark):
+    docs, labels = toxic_corpus(300)
+    docs = [(i, f"{t} only{i} {'seldom' if i % 5 else 'unlabelled'}{i % 7}") for i, t in docs]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    held = {r[0] for r in d.where(toxicity.held_out("doc_id")).collect()}
+    model, counted = toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r for r in toxicity.score(model, counted).collect()}
+    counts = {i: Counter(toxicity.text_terms(t)) for i, t in docs}
+    label, df = dict(labels), Counter(t for c in counts.values() for t in c)
+    train = [i for i in counts if i not in held]
+    seen = sorted({t for i in train for t in counts[i]})
+    a, b = ([float(sum(t in counts[i] for i in train if label[i] == x)) for t in seen] for x in (1, 0))
+    trust, floor = toxicity._trust(np.array(a), np.array(b), float(sum(label[i] for i in train)),
+                                   float(sum(1 - label[i] for i in train)))
+    assert trust.min() >= floor > 0
+    trusted = dict(zip(seen, trust, strict=True))
+    vectors = {}
+    for i, c in counts.items():
+        v = {t: (1 + np.log(n)) * (np.log((len(docs) + 1) / (df[t] + 1)) + 1) * trusted.get(t, floor)
+             for t, n in c.items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        vectors[i] = {t: x / norm for t, x in v.items()}
+    assert any(t not in trusted for i in held for t in counts[i])
+    for i, v in vectors.items():
+        want = sorted((sum(x * vectors[j].get(t, 0) for t, x in v.items()) for j in train), reverse=True)
+        assert np.allclose(got[i]["cosines"], want[:toxicity.K])
+        assert len(got[i]["neighbours"]) == toxicity.K and not set(got[i]["neighbours"]) & held
+
+
+def test_toxic_words_that_are_each_rare_count(spark):
+    r, docs, labels = random.Random(4), [], []
+    bad = [f"vile{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    for i in range(800):
+        toxic = int(r.random() < 0.25)
+        docs.append((i, " ".join([prose(i, 20), *(r.sample(bad, 6) if toxic else [])])))
+        labels.append((i, toxic))
+    model, counted = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                                  spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {x["doc_id"]: x for x in toxicity.score(model, counted).withColumn(
+        "held", toxicity.held_out("doc_id")).collect()}
+    right = [got[i]["predicted"] == t for i, t in labels if got[i]["held"]]
+    assert sum(right) >= 0.95 * len(right) and all(x["neighbours"] for x in got.values())
+
+
 # --- 6 top-k -----------------------------------------------------------------
 
 def check_top_k(spark, rows, k, **how):

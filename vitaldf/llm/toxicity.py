@@ -1,20 +1,24 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased runs of word characters.  From a bounded sample of
-labelled training rows come the vocabulary (the terms whose presence tells
-the labels apart most surely) and the examples.  Document frequencies are
-counted over all documents.  Each document's K nearest examples are found
-with a block-max inverted index: posting lists in blocks of examples, with
-the largest weight of each (term, block), so that blocks whose bound can't
-reach the K-th cosine are skipped; the result is exact.
-
-Votes are weighted by distance and by how many training rows an example
+Terms are lower-cased runs of word characters.  A bounded sample of labelled
+training rows gives the examples; every term of theirs is indexed.  Document
+frequencies are counted over all documents, of the examples' terms and of
+all others, and a text's norm is over all its terms.  No term is dropped:
+each has the weight (1 + ln count) * idf * trust, where trust grows from a
+small floor to 1 with how surely the term's presence tells the labels apart
+(G squared), so that noise stays small.  Each document's K nearest examples
+are found with a block-max inverted index: posting lists in blocks of
+examples, with the largest weight of each (term, block), so that blocks whose
+bound can't reach the K-th cosine are skipped; the result is exact.
+
+Votes are weighted by squared cosine and by how many training rows an example
 stands for.  Isotonic regression on the examples' own leave-one-out votes
 turns a vote into a probability.  The neighbours are returned as evidence.
 
-The index is bounded by MAX_EXAMPLES and MAX_TERMS and goes to every task;
-documents are scored where they are read.  Nulls and edge cases: a null or
-empty text, or one without a term of the vocabulary, gets the rate of
+The index is bounded by MAX_EXAMPLES texts and goes to every task; documents
+are scored where they are read, and the other terms' share of the norm is
+joined to the scored rows.  Nulls and edge cases: a null or empty text, or
+one without a term of the examples, gets the rate of
 label 1 among such training examples.  Without training rows of both labels
 every score is the rate of label 1 (0 without any).  Labels of one id are
 averaged, 0.5 counting as 1; null labels and null ids are left out.  Only
@@ -35,14 +39,17 @@ from pyspark.sql import functions as F
 from vitaldf.llm import simhash
 from vitaldf.llm.common import saved, text_or_empty
 
-#: bounds of the fitted model: training rows of each label, and terms
+#: bound of the fitted model: training rows of each label
 MAX_EXAMPLES = 2048
-MAX_TERMS = 256
-#: a term is used if it occurs in so many examples, and if its likelihood ratio for the
-#: labels (G squared) exceeds what the best of as many unrelated terms reaches by this much
-MIN_EXAMPLES, MARGIN = 5, 8.0
+#: a term is half trusted if its likelihood ratio for the labels (G squared) exceeds by this
+#: what the best of as many unrelated terms reaches; an unrelated term's is 1 on average
+MARGIN, CHANCE = 8.0, 1.0
 K = 15
+#: squared cosine by which the rate of all examples counts in a vote
+PRIOR = 0.05
 BLOCK = 64
+#: blocks that are searched first, for a bound of the K-th cosine
+FIRST_BLOCKS = 4
 FOLDS = 5
 _TERM = re.compile(r"\w+")
 
@@ -64,112 +71,163 @@ class BlockMaxIndex:
         # alike examples side by side give tight block bounds
         self.order = sorted(range(len(vectors)), key=lambda i: (sorted(
             vectors[i], key=lambda t: (-vectors[i][t], t)), i))
-        self.block, self.size = block, len(vectors)
-        self.bounds = np.zeros((terms, -(-len(vectors) // block)))
-        lists: dict[tuple[int, int], tuple[list, list]] = {}
-        for at, i in enumerate(self.order):
-            for t, w in vectors[i].items():
-                ids, weights = lists.setdefault((at // block, t), ([], []))
-                ids.append(at % block)
-                weights.append(w)
-        self.postings = {k: (np.array(a), np.array(w)) for k, (a, w) in lists.items()}
-        for (b, t), (_, w) in self.postings.items():
-            self.bounds[t, b] = w.max()
+        self.order = np.array(self.order, np.int64)
+        self.block, self.blocks = block, -(-len(vectors) // block)
+        at = np.repeat(np.arange(len(vectors)), [len(vectors[i]) for i in self.order.tolist()])
+        term = np.array([t for i in self.order.tolist() for t in vectors[i]], np.int64)
+        weight = np.array([w for i in self.order.tolist() for w in vectors[i].values()], float)
+        by = np.lexsort((at, term))
+        small = np.int16 if len(self.order) < 1 << 15 else np.int32  # the index is sent to every task
+        self.at, self.weights = at[by].astype(small), weight[by]
+        # one list for each term and block that holds it: where it starts, its block, its largest weight
+        key = term[by] * max(1, self.blocks) + at[by] // block
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.starts = np.append(first, len(key)).astype(np.int32)
+        self.in_block = (key[first] % max(1, self.blocks)).astype(small)
+        self.largest = np.maximum.reduceat(self.weights, first) if len(key) else np.zeros(0)
+        self.largest = np.nextafter(self.largest.astype(np.float32), np.float32(np.inf))  # still a bound
+        self.lists = np.searchsorted(key[first] // max(1, self.blocks), np.arange(terms + 1)).astype(np.int32)
+
+    @staticmethod
+    def _ranges(first: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """The numbers of all ranges, one after the other."""
+        n = until - first
+        return np.arange(n.sum(), dtype=np.int32) + np.repeat(first - np.cumsum(n, dtype=np.int32) + n, n)
+
+    def _scores(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        first, until = self.starts[lists], self.starts[lists + 1]
+        i = self._ranges(first, until)
+        return np.bincount(self.at[i], np.repeat(weights, until - first) * self.weights[i],
+                           self.blocks * self.block)
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
+        """(example, product) of the k nearest with a common term; ties to the smaller example."""
+        first, until = self.lists[terms], self.lists[terms + 1]
+        lists, weights = self._ranges(first, until), np.repeat(weights, until - first)
+        if not len(lists):
+            return []
+        inside = self.in_block[lists]
+        bounds = np.bincount(inside, weights * self.largest[lists], self.blocks)
+        early = np.zeros(self.blocks, bool)
+        early[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+        scores = self._scores(lists[early[inside]], weights[early[inside]])
+        # one more than k, as an example may be left out
+        least = np.partition(scores, -k - 1)[-k - 1] * (1 - 1e-9) if k < len(scores) else 0.0
+        late = ~early & (bounds > 0) & (bounds >= least)
+        if late.any():
+            scores += self._scores(lists[late[inside]], weights[late[inside]])
+            least = np.partition(scores, -k - 1)[-k - 1] * (1 - 1e-9) if k < len(scores) else 0.0
+        hits = np.flatnonzero((scores > 0) & (scores >= least))
+        best = sorted(zip((-scores[hits]).tolist(), self.order[hits].tolist(), strict=True))
+        return [(i, -s) for s, i in best if i != without][:k]
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[int, float]]:
-        """(example, cosine) of the k nearest with a common term; ties to the smaller example."""
         terms = sorted(query)
-        bounds = np.array([query[t] for t in terms]) @ self.bounds[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(self.block)
-            for t in terms:
-                if (p := self.postings.get((b, t))) is not None:
-                    scores[p[0]] += query[t] * p[1]
-            least = -best[-1][0] - 1e-12 if len(best) == k else 0.0
-            hits = np.flatnonzero((scores > 0) & (scores >= least)).tolist()
-            best += [(-scores[j], i) for j in hits if (i := self.order[b * self.block + j]) != without]
-            best = sorted(best)[:k]
-        return [(i, -s) for s, i in best]
+        return self.search(np.array(terms, np.int64), np.array([query[t] for t in terms], float), k, without)
 
 
-class Model:
-    """Vocabulary, weights, examples and calibration."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]],
-                 stands_for: dict[int, float], k: int = K):
-        self.terms, self.idf, self.k = {t: i for i, t in enumerate(terms)}, idf, k
-        self.ids = [e[0] for e in examples]
-        self.labels = np.array([e[1] for e in examples], float)
-        self.mass = np.array([stands_for.get(e[1], 1.0) for e in examples])
-        vectors = [self.unit(e[2]) for e in examples]
-        self.index = BlockMaxIndex(vectors, max(1, len(terms)))
-        bare = np.array([not v for v in vectors], bool) if vectors else np.zeros(0, bool)
-        both = len(set(self.labels.tolist())) == 2
-        rate = float((self.labels * self.mass).sum() / self.mass.sum()) if len(vectors) else 0.0
-        self.rate = self._share(bare, rate) if both else rate
-        self.steps: list[tuple[float, float]] = []
-        if both:
-            votes = [(self.vote(self.index.nearest(v, k, i)), i) for i, v in enumerate(vectors) if v]
-            self.steps = self._isotonic([(x, self.labels[i], self.mass[i]) for (x, i) in votes if x is not None])
+class Votes:
+    """Labels of the examples, and the calibration of their votes."""
+
+    def __init__(self, labels: list[tuple[int, int]], stands_for: dict[int, float]):
+        self.ids = [i for i, _ in labels]
+        self.labels = np.array([x for _, x in labels], float)
+        self.mass = np.array([stands_for.get(x, 1.0) for _, x in labels])
+        self.prior = float((self.labels * self.mass).sum() / self.mass.sum()) if len(labels) else 0.0
+        self.rate, self.steps = self.prior, []
 
-    def _share(self, chosen: np.ndarray, prior: float) -> float:
+    def share(self, chosen: np.ndarray, prior: float) -> float:
         """Rate of label 1 among the chosen examples, with one more row at the prior."""
         m = self.mass * chosen
         return float(((self.labels * m).sum() + prior) / (m.sum() + 1))
 
-    @staticmethod
-    def _isotonic(points: list[tuple[float, float, float]]) -> list[tuple[float, float]]:
-        """(largest vote, probability) steps by pooling adjacent violators."""
+    def calibrate(self, near: list[list[tuple[int, float]]]) -> None:
+        """Steps from each example's neighbours among the others."""
+        found = [(self.vote(x), i) for i, x in enumerate(near)]
+        self.steps = self._isotonic([(x, self.labels[i], self.mass[i]) for x, i in found if x is not None])
+
+    def _isotonic(self, points: list[tuple[float, float, float]]) -> list[tuple[float, float]]:
+        """(vote, probability) at both ends of each pool of adjacent violators, with one row at the prior."""
         pools: list[list[float]] = []
         for x, y, m in sorted(points):
-            if pools and pools[-1][0] == x:
-                pools[-1][1] += y * m
-                pools[-1][2] += m
+            if pools and pools[-1][1] == x:
+                pools[-1][2] += y * m
+                pools[-1][3] += m
             else:
-                pools.append([x, y * m, m])
-            while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
-                x, y, m = pools.pop()
-                pools[-1] = [x, pools[-1][1] + y, pools[-1][2] + m]
-        return [(x, (y + 0.5) / (m + 1)) for x, y, m in pools]
-
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(counts.items()) if n > 0}
-        norm = sum(x * x for x in w.values()) ** 0.5
-        return {t: x / norm for t, x in w.items()} if norm else {}
+                pools.append([x, x, y * m, m])
+            while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+                _, x, y, m = pools.pop()
+                pools[-1][1:] = [x, pools[-1][2] + y, pools[-1][3] + m]
+        return [(x, float(y + self.prior) / float(m + 1)) for low, high, y, m in pools for x in (low, high)]
 
     def vote(self, near: list[tuple[int, float]]) -> float | None:
-        """Share of label 1, each neighbour weighted by its mass over its distance."""
+        """Share of label 1, each neighbour weighted by its mass and squared cosine.
+
+        The rate of all examples weighs like one with PRIOR, so that far neighbours say little.
+        """
         if not near:
             return None
         i = [e for e, _ in near]
-        w = self.mass[i] / (0.05 + np.sqrt(np.maximum(0, 2 - 2 * np.array([c for _, c in near]))))
-        return float((w * self.labels[i]).sum() / w.sum())
+        w = self.mass[i] * np.array([c for _, c in near]) ** 2
+        prior = PRIOR * self.mass.mean()
+        return float(((w * self.labels[i]).sum() + prior * self.prior) / (w.sum() + prior))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[int, float]]]:
-        if not counts or not self.steps:
-            return self.rate, []
-        near = self.index.nearest(self.unit(counts), self.k)
+    def probability(self, near: list[tuple[int, float]]) -> float:
         vote = self.vote(near)
         if vote is None:
-            return self.rate, []
-        return next((p for x, p in self.steps if vote <= x), self.steps[-1][1]), near
+            return self.rate
+        return float(np.interp(vote, [x for x, _ in self.steps], [p for _, p in self.steps]))  # between pools
+
+
+class Model:
+    """Weights, examples and calibration."""
+
+    def __init__(self, factors: np.ndarray, examples: list[tuple[int, int, dict[int, int]]],
+                 stands_for: dict[int, float], documents: int = 0, floor: float = 1.0, k: int = K):
+        self.factors, self.documents, self.floor, self.k = factors, documents, floor, k
+        self.votes = votes = Votes([e[:2] for e in examples], stands_for)
+        vectors = [self.unit(e[2]) for e in examples]
+        self.index = BlockMaxIndex(vectors, max(1, len(factors)))
+        bare = np.array([not v for v in vectors], bool) if vectors else np.zeros(0, bool)
+        both = len(set(votes.labels.tolist())) == 2
+        if both:
+            votes.rate = votes.share(bare, votes.prior)
+            votes.calibrate([self.index.nearest(v, k, i) if v else [] for i, v in enumerate(vectors)])
+
+    def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (1 + np.log(counts)) * self.factors[terms]
+
+    def unit(self, counts: dict[int, int]) -> dict[int, float]:
+        terms = sorted(counts)
+        w = self.weigh(np.array(terms, np.int64), np.array([counts[t] for t in terms], float))
+        norm = float(w @ w) ** 0.5
+        return dict(zip(terms, (w / norm).tolist(), strict=True)) if norm else {}
+
+    def products(self, terms: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[int, float]], float]:
+        """The nearest examples with their products, and the terms' share of the squared norm."""
+        if not len(terms) or not self.votes.steps:
+            return [], 0.0
+        w = self.weigh(terms, counts)
+        return self.index.search(terms, w, self.k), float(w @ w)
+
+
+def idf(n, documents: int):
+    return np.log((documents + 1) / (n + 1)) + 1
 
 
 def _counted(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
-    """(id, terms, counts): the vocabulary's terms in each document."""
+    """(id, terms, counts, others, other_counts): each document's terms, those known by number."""
     known = {t: i for i, t in enumerate(terms)}
 
-    @F.pandas_udf("terms array<int>, counts array<int>")
+    @F.pandas_udf("terms array<int>, counts array<int>, others array<string>, other_counts array<int>")
     def count(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            c = Counter(filter(None.__ne__, map(known.get, text_terms(text))))
-            keys = sorted(c)
-            rows.append((keys, [c[i] for i in keys]))
-        return pd.DataFrame(rows, columns=["terms", "counts"])
+            c = Counter(text_terms(text))
+            numbers = sorted((i, n) for t, n in c.items() if (i := known.get(t)) is not None)
+            others = [t for t in c if t not in known] if len(numbers) < len(c) else []
+            rows.append(([i for i, _ in numbers], [n for _, n in numbers], others, [c[t] for t in others]))
+        return pd.DataFrame(rows, columns=["terms", "counts", "others", "other_counts"])
 
     return (docs.select(F.col(f"`{id_col}`").alias("id"), count(text_or_empty(text_col)).alias("c"))
             .select("id", "c.*"))
@@ -211,10 +269,24 @@ def _examples(docs: DataFrame, train: DataFrame, id_col: str, text_col: str, mos
     return saved(one.select("id", "label", "text", distinct("text").alias("terms")), "examples")
 
 
+def _trust(a: np.ndarray, b: np.ndarray, pos: float, neg: float) -> tuple[np.ndarray, float]:
+    """How far terms in ``a`` examples of label 1 and ``b`` of label 0 are trusted, and an unseen term."""
+    total, both = pos + neg, a + b
+
+    def part(seen, of):  # one cell of the terms' contingency tables
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where((seen > 0) & (of > 0), seen * np.log(seen * total / of), 0.0)
+
+    g2 = 2 * (part(a, both * pos) + part(b, both * neg)
+              + part(pos - a, (total - both) * pos) + part(neg - b, (total - both) * neg))
+    half = 2 * np.log(max(1, len(a))) + MARGIN
+    sure = np.maximum(0, g2) + CHANCE
+    return sure / (sure + half), CHANCE / (CHANCE + half)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES,
-        max_terms: int = MAX_TERMS) -> tuple[Model, DataFrame]:
-    """The model, and the vocabulary counts (id, terms, counts) of all documents."""
+        label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
+    """The model, and the term counts (row, id, terms, counts, others, other_counts) of all documents."""
     train = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).cast("long").alias("id"))
              .agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
@@ -223,44 +295,64 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     examples = _examples(docs, train, id_col, text_col, max_examples)
     held = dict(examples.groupBy("label").count().collect())
     pos, neg = float(held.get(1, 0)), float(held.get(0, 0))
-    seen = saved(examples.select("label", F.explode("terms").alias("term")).groupBy("term")
-                 .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-                 .where(F.col("a") + F.col("b") >= MIN_EXAMPLES), "term_labels")
-    both, total = F.col("a") + F.col("b"), pos + neg
-
-    def part(seen_with, of):  # one cell of the term's contingency table
-        return F.when(seen_with > 0, seen_with * F.ln(seen_with * total / of)).otherwise(0.0)
-
-    g2 = 2 * (part(F.col("a"), both * pos) + part(F.col("b"), both * neg)
-              + part(pos - F.col("a"), (total - both) * pos) + part(neg - F.col("b"), (total - both) * neg))
-    least = 2 * np.log(max(1, seen.count())) + MARGIN
-    terms = [r["term"] for r in seen.withColumn("g2", g2).where(F.col("g2") >= F.lit(float(least)))
-             .orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
-    counted = saved(_counted(docs, id_col, text_col, terms), "term_counts")
-    df = dict(counted.select("terms").mapInPandas(_document_counts, "t int, n long")
-              .groupBy("t").agg(F.sum("n")).collect())  # at most max_terms rows, also of each task
-    n = docs.count()
-    idf = np.array([np.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(terms))])
+    seen = (examples.select("label", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+            .orderBy("term").toArrow())  # the terms of at most 2 * max_examples texts
+    terms = seen["term"].to_pylist()
+    trust, floor = _trust(np.array(seen["a"], float), np.array(seen["b"], float), pos, neg)
+    counted = saved(_counted(docs, id_col, text_col, terms)
+                    .withColumn("row", F.monotonically_increasing_id()), "term_counts")
+    found = counted.select("terms").mapInPandas(_document_counts, "t int, n long").groupBy("t").agg(
+        F.sum("n").alias("n")).toArrow()  # a row for each known term
+    df, n = np.zeros(len(terms)), counted.count()
+    df[np.array(found["t"], np.int64)] = np.array(found["n"], float)
     sample = [(r["id"], r["label"], dict(zip(r["terms"], r["counts"], strict=True)))
               for r in _counted(examples, "id", "text", terms)
               .join(examples.select("id", "label"), "id").orderBy("id").collect()]
     mass = {x: rows.get(x, 0) / held[x] for x in held}
-    return Model(terms, idf, sample, mass), counted
+    return Model(idf(df, n) * trust, sample, mass, n, floor), counted
+
+
+def _other_squares(model: Model, counted: DataFrame) -> DataFrame:
+    """(row, square): the share of terms that no example has in a text's squared norm."""
+    pairs = counted.select("row", F.inline(F.arrays_zip(
+        F.col("others").alias("term"), F.col("other_counts").alias("count"))))
+    df = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    weight = ((1 + F.ln("count")) * (F.ln((model.documents + 1) / (F.col("n") + 1)) + 1) * F.lit(model.floor))
+    # added up in order, so that a repeated run gives the same sum
+    return (pairs.join(df, "term").groupBy("row")
+            .agg(F.array_sort(F.collect_list(weight * weight)).alias("squares"))
+            .select("row", F.aggregate("squares", F.lit(0.0), lambda a, x: a + x).alias("square")))
 
 
 def score(model: Model, counted: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per document: the id, ``score``, ``predicted``, and the nearest examples with their cosines."""
     id_type = counted.schema["id"].dataType.simpleString()
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [model.score(dict(zip(t.tolist(), n.tolist(), strict=True)))
+            out = [model.products(t.astype(np.int64), n.astype(float))
                    for t, n in zip(b["terms"], b["counts"], strict=True)]
             yield pd.DataFrame({
-                "id": b["id"], "score": [s for s, _ in out], "predicted": [int(s >= 0.5) for s, _ in out],
-                "neighbours": [[model.ids[i] for i, _ in near] for _, near in out],
-                "cosines": [[c for _, c in near] for _, near in out]})
+                "row": b["row"], "id": b["id"], "near": [[i for i, _ in near] for near, _ in out],
+                "products": [[x for _, x in near] for near, _ in out], "known": [x for _, x in out]})
 
-    return counted.mapInPandas(scored, f"id {id_type}, score double, predicted int, "
-                                       "neighbours array<long>, cosines array<double>"
-                               ).withColumnRenamed("id", id_col)
+    votes = model.votes  # without the index
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            norm = np.sqrt(b["known"] + b["square"])
+            out = [[(i, min(1.0, x / z)) for i, x in zip(near.tolist(), xs.tolist(), strict=True)]
+                   for near, xs, z in zip(b["near"], b["products"], norm, strict=True)]
+            scores = [votes.probability(near) for near in out]
+            yield pd.DataFrame({
+                "id": b["id"], "score": scores, "predicted": [int(s >= 0.5) for s in scores],
+                "neighbours": [[votes.ids[i] for i, _ in near] for near in out],
+                "cosines": [[c for _, c in near] for near in out]})
+
+    near = counted.select("row", "id", "terms", "counts").mapInPandas(
+        searched, f"row long, id {id_type}, near array<int>, products array<double>, known double")
+    return (near.join(_other_squares(model, counted), "row", "left").na.fill(0.0, ["square"])
+            .mapInPandas(scored, f"id {id_type}, score double, predicted int, "
+                                 "neighbours array<long>, cosines array<double>")
+            .withColumnRenamed("id", id_col))
