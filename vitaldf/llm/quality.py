@@ -26,12 +26,14 @@ WINDOW = 3
 LEVEL = 3
 CHUNK_BYTES = 4096
 SYMBOLS = b"#*$%&|<>"
-#: (bytes below which the band holds, smallest ratio, largest ratio); general
-#: limits for prose at this level: random base64 cut into short words stays
-#: under 1.6, ordinary prose gains with length from 1.3 at a few hundred bytes to 2.5 and more
-BANDS = ((256, 0.85, 3.0), (1024, 1.15, 3.5), (4096, 1.4, 4.5), (16384, 1.6, 6.0), (None, 1.65, 8.0))
-#: the same for one full chunk of CHUNK_BYTES
-CHUNK_BAND = (1.6, 5.5)
+#: (bytes below which the band holds, smallest ratio, largest ratio).  A smallest ratio lies under
+#: prose of the class's length and above each kind of generated noise that prose can be told from there:
+#: random base64 words from 256 bytes, random letters from 1 KB, random hex words from 2 KB
+BANDS = ((256, 0.85, 3.0), (384, 1.24, 3.5), (512, 1.32, 3.5), (768, 1.38, 3.5), (1024, 1.5, 3.5),
+         (1536, 1.67, 4.5), (2048, 1.76, 4.5), (3072, 1.89, 4.5), (4096, 1.93, 4.5), (6144, 1.96, 6.0),
+         (16384, 2.0, 6.0), (None, 2.05, 8.0))
+#: the same for one chunk of CHUNK_BYTES
+CHUNK_BAND = (1.95, 5.5)
 #: share of full chunks outside CHUNK_BAND above which the text is rejected
 MAX_BAD_CHUNKS = 0.25
 
