@@ -38,3 +38,10 @@ def test_prose_is_kept(spark):
     rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     found = [r for r in quality.quality(rows).where("not base_failed").collect()]
     assert sum(r["kept"] for r in found) >= 0.98 * len(found)
+
+
+@pytest.mark.parametrize("kind", ALPHABETS)
+def test_the_end_of_a_text_is_measured(spark, kind):
+    start = prose(5, 3000)[:4096]
+    assert kept(spark, [start + prose(6, 3000)[:4000]]) == [True]
+    assert not any(kept(spark, [start + " " + noise(kind, 4094, s) for s in range(4)]))

@@ -34,7 +34,7 @@ BANDS = ((256, 0.85, 3.0), (384, 1.24, 3.5), (512, 1.32, 3.5), (768, 1.38, 3.5),
          (16384, 2.0, 6.0), (None, 2.05, 8.0))
 #: the same for one chunk of CHUNK_BYTES
 CHUNK_BAND = (1.95, 5.5)
-#: share of full chunks outside CHUNK_BAND above which the text is rejected
+#: share of chunks outside CHUNK_BAND above which the text is rejected
 MAX_BAD_CHUNKS = 0.25
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -65,6 +65,8 @@ def measure_text(text: str, coder: zstandard.ZstdCompressor) -> tuple[int, ...]:
     spaces = len(raw) - len(raw.translate(None, b" \t\n\r\x0b\x0c"))
     lines = [x for x in raw.split(b"\n") if x and not x.isspace()]
     chunks = [raw[i:i + CHUNK_BYTES] for i in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
+    if len(raw) % CHUNK_BYTES:  # what is left is measured with what precedes it, as a chunk that ends the text
+        chunks.append(raw[-CHUNK_BYTES:])
     sizes = [len(coder.compress(c)) for c in chunks] if len(raw) > CHUNK_BYTES else []
     low, high = CHUNK_BAND
     return (len(words), len(text) - spaces, len(raw) - len(raw.translate(None, SYMBOLS)),
