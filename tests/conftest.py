@@ -21,10 +21,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="vitaldf-test-")
-
-
-def write(path: str, text: str, encoding: str = "utf-8") -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding=encoding) as f:
-        f.write(text)
-    return path
