@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaldf.llm import (license_scan, mixing, packing, quality, secret_scan, sharding, simhash, token_files,
-                         topk, toxicity)
+from vitaldf.llm import (license_scan, mixing, packing, periodic_runs, quality, secret_scan, sharding, simhash,
+                         token_files, topk, toxicity)
 from vitaldf.llm.common import read_table
 from vitaldf.llm.oracle import LICENSES, MIXING, SECRETS, TOP_K
 
@@ -77,6 +77,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.path(TOKENIZER)))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "found",
+                                    id_col="doc_id", rewrite=periodic_runs.planted)
+    return found.select("doc_id", *periodic_runs.summary("found.runs"),
+                        F.sha2("found.collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_secrets, op2_licenses, op3_mixing, op4_token_files, op5_toxicity, op6_top_k, op7_sharding,
-             op8_quality, op9_simhash, op10_packing, pipeline]
+             op8_quality, op9_simhash, op10_packing, op13_periodic_runs, pipeline]
     return {f.__name__: f for f in found}
 
 
