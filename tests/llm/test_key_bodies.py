@@ -40,3 +40,26 @@ def test_no_body_character_survives_masking(spark):
     assert got[0] == "before\n[SECRET]\nafter it"
     assert "words between - and more" in got[11]
     assert got[12] == "before [SECRET] a few words after it"
+
+
+def test_long_bodies_and_any_number_of_dashes(spark):
+    """Of 10 MB, in lines and in words, with and without an END line, and with very many dashes."""
+    body = lines(4, 7_500_000, 20)
+    dashed = "-".join(f"{i:016d}" for i in range(400)) + "--" + "0" * 16 + "------" + "1" * 16
+    texts = [
+        "\n".join(["before", BEGIN, *body, END, "after it"]),
+        " ".join(["before", BEGIN, *body, END, "after it"]),
+        " ".join(["before", BEGIN, *body, "\n\nafter it"]),
+        "\n".join(["before", BEGIN, *body, "", "\tafter it"]),
+        f"before {BEGIN}\n{dashed}\n{END} after it",
+        f"before {BEGIN}\n" + "Name: value\n" * 5000 + "\n".join(body[:50]) + "\n\n\tafter it",
+        "before " + "-----BEGIN " * 3000 + " PRIVATE KEY- after it"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(len(texts))
+    got = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(df).collect()}
+    assert got[0] == "before\n[SECRET]\nafter it"
+    assert got[1] == "before [SECRET] after it"
+    assert got[2].split() == ["before", "[SECRET]", "after", "it"]
+    assert got[3].split() == ["before", "[SECRET]", "after", "it"]
+    assert got[4] == "before [SECRET] after it"
+    assert got[5].split() == ["before", "[SECRET]", "after", "it"]
+    assert got[6] == texts[6]

@@ -15,7 +15,8 @@ are left out of the index.
 Nulls and edge cases: a null text counts as empty and has no spans.
 Documents are told apart by id and text: repeated rows each get their
 result, and a null id is an id like any other.  Spans are in code points,
-end exclusive.
+end exclusive.  Texts and matches may be of any length: no rule bounds a
+key's lines or characters, and none makes the matcher recurse over them.
 """
 
 from __future__ import annotations
@@ -50,14 +51,16 @@ RULES = (
     # runs are greedy, so a bound in the regex finds just those long enough
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
-    # the header with all up to the END line; without one, with the lines of base64 (or escaped) that
-    # follow it, after which one more word may be taken; five dashes start another key
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
-                        r"(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]{0,24}PRIVATE KEY-----"
-                        r"|(?:[ \t\r\n]+[A-Za-z-]{1,24}: [^\r\n]*){0,8}[ \t\r\n\\]*"
-                        r"[A-Za-z0-9+/\\]{16}[A-Za-z0-9+/=\\\r\n]*"
-                        r"(?:[ \t]+[A-Za-z0-9+/]{16}[A-Za-z0-9+/=\\\r\n]*)*"
-                        r"(?:[ \t]+[A-Za-z0-9+/=]+(?:[\r\n]|$))?)?"),
+    # the header with all up to its END line; without one, with the header lines and the lines of base64
+    # (or escaped) that follow it, after which one more word may be taken.  Repeated groups are possessive:
+    # Java matches those in a loop, but recurses once a repetition in others, which a long key would overflow
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+                        r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----))*+"
+                        r"-----END [A-Z ]*PRIVATE KEY-----"
+                        r"|(?:[ \t\r\n]++[A-Za-z-]++: [^\r\n]*+)*+[ \t\r\n\\]*+"
+                        r"[A-Za-z0-9+/\\]{16}[A-Za-z0-9+/=\\\r\n]*+"
+                        r"(?:[ \t]++[A-Za-z0-9+/]{16}[A-Za-z0-9+/=\\\r\n]*+)*+"
+                        r"(?:[ \t]++[A-Za-z0-9+/=]++(?:[\r\n]|$))?)?"),
     Rule("git_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
