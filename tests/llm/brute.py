@@ -19,7 +19,6 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def token_ids(texts: list[str | None]) -> list[np.ndarray]:
     tok = Tokenizer.from_file(TOKENIZER)
-    tok.encode_special_tokens = True
     return [np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for t in texts]
 
 

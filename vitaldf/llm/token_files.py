@@ -109,6 +109,9 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, folder: str, dictionary
     out.write(index.tobytes())
     out.write(_TAIL.pack(at, len(index), MAGIC))
     out.close()
+    # an attempt that was lost after its move left the same file: not every store replaces it
+    if store.get_file_info(f"{place}/{name}").type != fs.FileType.NotFound:
+        store.delete_file(f"{place}/{name}")
     store.move(draft, f"{place}/{name}")
     yield pa.RecordBatch.from_pydict({"file": [name], "docs": [len(index)], "tokens": [total]})
 

@@ -5,7 +5,8 @@ words, so a text's ids are those of its space-led words, one after the other.
 Arrow splits a batch of texts and finds its distinct words; the library is
 asked once for the letters of each that the cache lacks, and the texts' ids
 are put together by position.  A text where a space stands inside a run of white
-space, or a tokenizer that doesn't work this way, is encoded in one go.
+space or that holds an added token (``<|endoftext|>``), and any text of a
+tokenizer that doesn't work this way, is encoded in one go.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def packed(ids) -> bytes:
 class TextEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text they are ordinary text
+        #: tokens that the library cuts out of a text before all else
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         pre = self.tokenizer.pre_tokenizer
         self.by_word = (
             self.tokenizer.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel)
@@ -109,6 +111,15 @@ class TextEncoder:
         ids = np.frombuffer(b"".join(table), "<u4")[place]
         return ids, until[ends + np.arange(len(ends))]
 
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts can't be put together from their words."""
+        if not self.by_word:
+            return np.ones(len(texts), bool)
+        found = pc.match_substring_regex(texts, _INNER_SPACE)
+        for content in self.added:
+            found = pc.or_(found, pc.match_substring(texts, content))
+        return found.to_numpy(zero_copy_only=False)
+
     def documents(self, texts: pa.Array) -> Iterator[bytes]:
         """For each text (null: empty) its ids and the end id, little-endian unsigned 32-bit."""
         end = packed([END_ID])
@@ -120,8 +131,7 @@ class TextEncoder:
             to = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
             part = texts.slice(at, to - at)
             at = to
-            odd = (pc.match_substring_regex(part, _INNER_SPACE).to_numpy(zero_copy_only=False)
-                   if self.by_word else np.ones(len(part), bool))
+            odd = self._odd(part)
             ids, ends = self._by_word(part.filter(pa.array(~odd))) if not odd.all() else (None, [])
             start, ends = 0, iter(ends)
             for i, alone in enumerate(odd.tolist()):
