@@ -332,6 +332,18 @@ def test_top_k_edge_rows(spark):
                       spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_of_equal_vectors_and_of_huge_ones(spark):
+    df = spark.range(20_000).selectExpr("id vec_id", "array(0.5D, -0.25D) embedding")
+    got = topk.top_k(df, df.where("vec_id in (0, 3)"), 3).orderBy("query_id", "rank").collect()
+    score = 512 * 512 + 256 * 256
+    assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [
+        (0, 1, score), (0, 2, score), (0, 3, score), (3, 0, score), (3, 1, score), (3, 2, score)]
+    wide = spark.createDataFrame([(0, [1.0]), (1, [1e300]), (2, [-2.0 ** 21]), (3, [2.0 ** 20])],
+                                 "vec_id long, embedding array<double>")
+    got = topk.top_k(wide, wide).orderBy("query_id").collect()
+    assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(0, 3, 1 << 40), (3, 0, 1 << 40)]
+
+
 # --- 7 sharding --------------------------------------------------------------
 
 def check_shards(docs, rows, shards):
@@ -453,3 +465,7 @@ def test_tree_links_join_groups():
     first = brute.groups(values)
     assert tree.groups == len(set(first))
     assert len({(tree.find(i), g) for i, g in enumerate(first)}) == tree.groups
+
+
+def test_added_tokens_in_a_text_are_the_librarys():
+    assert list(np.frombuffer(ENCODER.document("a <|endoftext|> b"), "<u4")) == [64, 220, 50256, 275, 0]

@@ -18,7 +18,9 @@ task's row group of its own.  Pivots come from a bounded sample; all vectors
 are indexed and the results exact for any pivots.
 
 Nulls and edge cases: vectors that are null, or hold a null or non-finite
-component, take no part, nor do rows with a null id.  Shorter vectors count
+component, take no part, nor do rows with a null id.  Nor do vectors whose
+squared norm, quantized, is 2**62 or more (a component of 1e300): their
+scores need not fit a long, and all others' do.  Shorter vectors count
 as padded with zeros.  A repeated id is a candidate row each time; a query's
 own id never is its candidate, and a repeated query id is searched once for
 its smallest vector.  Fewer candidates than k are all returned, and an empty
@@ -47,6 +49,8 @@ ANNULUS_ROWS = 2048
 QUERY_BLOCK = 2048
 #: annuli of one pivot; a fuller one is dealt over parts
 RINGS = 64
+#: squared norms below this keep inner products within a long
+NORM_LIMIT = 2.0 ** 62
 #: room for rounding in bounds, as a share of the largest norm
 _ROOM = 1e-6
 
@@ -54,8 +58,13 @@ _ROOM = 1e-6
 def quantized(vector: Column, scale: int = SCALE) -> Column:
     """Components as floor(scale * x) with x as double; null if the vector takes no part."""
     x = vector.cast("array<double>")
-    good = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return F.when(good, F.transform(x, lambda c: F.floor(c * float(scale))))
+    good = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 2.0 ** 31 / scale))
+    v = F.when(good, F.transform(x, lambda c: F.floor(c * float(scale))))
+    return F.when(_square(v) < NORM_LIMIT, v)
+
+
+def _square(v: Column) -> Column:
+    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
 
 
 def _matrix(vectors, dim: int) -> np.ndarray:
@@ -67,10 +76,7 @@ def _matrix(vectors, dim: int) -> np.ndarray:
 
 def choose_pivots(vectors: DataFrame, dim: int, pivots: int = PIVOTS) -> np.ndarray:
     """Farthest-first pivots among the PIVOT_SAMPLE vectors with the smallest hashes."""
-    n = max(1, vectors.count())
-    h = F.xxhash64("id", "v")
-    rows = (vectors.where(F.pmod(h, F.lit(n)) < 2 * PIVOT_SAMPLE).orderBy(h)
-            .limit(PIVOT_SAMPLE).select("v").collect())
+    rows = vectors.orderBy(F.xxhash64("id", "v")).limit(PIVOT_SAMPLE).select("v").collect()
     sample = _matrix([r["v"] for r in rows], dim).astype(float)
     if not len(sample):
         return sample
@@ -202,12 +208,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         return q.where(F.col("id").isNotNull() & F.col("v").isNotNull())
 
     rows = saved(taken(vectors), "vectors")
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    dim, norm, n = rows.agg(F.max(F.size("v")), F.max(square), F.count(F.lit(1))).first()
+    dim, norm, n = rows.agg(F.max(F.size("v")), F.max(_square(F.col("v"))), F.count(F.lit(1))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if norm >= 2.0 ** 62:
-        raise ValueError("components are too large for exact 64-bit products")
     asked = saved(taken(queries).groupBy("id").agg(F.min("v").alias("v")), "queries")
     blocks = n_blocks(asked.count(), QUERY_BLOCK)
     top = int(norm)
@@ -232,7 +235,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
                                "query_id long, vec_id long, score long"))
 
     first = saved(_top(search(asked), k), "first_visits")
-    own = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    own = _square(F.col("v"))
     kth = F.when(F.size("best") >= k, -F.try_element_at("best", F.lit(k))["low"])
     # the distance of the k-th so far, with room for rounding
     limit = F.sqrt(F.greatest(F.lit(0.0), own + float(top) - 2.0 * kth)) + _ROOM * (top + 1) ** 0.5
