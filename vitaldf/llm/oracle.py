@@ -9,10 +9,17 @@ def _text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+#: DuckDB's matcher never recurses and has neither possessive repetition nor lookahead; here a body
+#: ends at any five dashes
+_KEY = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z ]*PRIVATE KEY-----"
+        r"|(?:[ \t\r\n]+[A-Za-z-]+: [^\r\n]*)*[ \t\r\n\\]*[A-Za-z0-9+/\\]{16}[A-Za-z0-9+/=\\\r\n]*"
+        r"(?:[ \t]+[A-Za-z0-9+/]{16}[A-Za-z0-9+/=\\\r\n]*)*(?:[ \t]+[A-Za-z0-9+/=]+(?:[\r\n]|$))?)?")
+
+
 def _secrets() -> str:
     parts = []
     for i, r in enumerate(secret_scan.RULES):
-        regex = _text(r.regex)
+        regex = _text(_KEY if r.kind == "private_key" else r.regex)
         parts.append(
             f"SELECT * FROM (SELECT row_no, {_text(r.kind)} AS kind, {i} AS ord, {r.least} AS least, "
             f"string_split_regex(text, {regex}) AS gaps, regexp_extract_all(text, {regex}, 0) AS hits, "
@@ -100,3 +107,29 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {topk
 
 
 SECRETS, LICENSES, MIXING, TOP_K = _secrets(), _licenses(), _mixing(), _top_k()
+
+COLLOCATIONS = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k AS words, unnest(list_transform(range(1, len(ws) - k + 2),
+        lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS v(k)),
+c AS (SELECT lang, words, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM c WHERE words = 1 GROUP BY lang),
+x AS (SELECT *, string_split(phrase, ' ') AS ws FROM c WHERE words > 1 AND a >= 10),
+cut AS (SELECT x.lang, x.words, x.phrase, x.a, k, l.a AS l, r.a AS r,
+          ((1000000::HUGEINT * x.a * x.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+        FROM (SELECT *, unnest(range(1, words)) AS k FROM x) AS x
+        JOIN c AS l ON l.lang = x.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+        JOIN c AS r ON r.lang = x.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS most FROM (
+             SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase
+             FROM x WHERE words = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.phrase = best.phrase
+           AND best.words = 2 WHERE most IS NULL OR 100 * most < 50 * best.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""

@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaldf.llm import (license_scan, mixing, packing, periodic_runs, quality, secret_scan, sharding, simhash,
-                         token_files, topk, toxicity)
+from vitaldf.llm import (collocations, license_scan, mixing, packing, periodic_runs, quality, secret_scan,
+                         sharding, simhash, token_files, topk, toxicity)
 from vitaldf.llm.common import read_table
-from vitaldf.llm.oracle import LICENSES, MIXING, SECRETS, TOP_K
+from vitaldf.llm.oracle import COLLOCATIONS, LICENSES, MIXING, SECRETS, TOP_K
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -77,6 +77,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.path(TOKENIZER)))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.with_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "found",
                                     id_col="doc_id", rewrite=periodic_runs.planted)
@@ -92,9 +96,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_secrets, op2_licenses, op3_mixing, op4_token_files, op5_toxicity, op6_top_k, op7_sharding,
-             op8_quality, op9_simhash, op10_packing, op13_periodic_runs, pipeline]
+             op8_quality, op9_simhash, op10_packing, op11_collocations, op13_periodic_runs, pipeline]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secrets": SECRETS, "op2_licenses": LICENSES, "op3_mixing": MIXING, "op6_top_k": TOP_K}
+    return {"op1_secrets": SECRETS, "op2_licenses": LICENSES, "op3_mixing": MIXING, "op6_top_k": TOP_K,
+            "op11_collocations": COLLOCATIONS}
