@@ -43,7 +43,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._saved_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` made and that nothing still to run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._saved_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaldf.llm import (collocations, license_scan, mixing, packing, periodic_runs, quality, secret_scan,
-                         sharding, simhash, token_files, topk, toxicity)
+from vitaldf.llm import (class_lm, collocations, license_scan, mixing, packing, periodic_runs, quality,
+                         secret_scan, sharding, simhash, token_files, topk, toxicity)
 from vitaldf.llm.common import read_table
 from vitaldf.llm.oracle import COLLOCATIONS, LICENSES, MIXING, SECRETS, TOP_K
 
@@ -81,6 +81,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op12_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    return class_lm.lm_scores(read_table(spark, sf_dir, "documents"), train).drop("perplexity")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.with_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "found",
                                     id_col="doc_id", rewrite=periodic_runs.planted)
@@ -96,7 +101,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_secrets, op2_licenses, op3_mixing, op4_token_files, op5_toxicity, op6_top_k, op7_sharding,
-             op8_quality, op9_simhash, op10_packing, op11_collocations, op13_periodic_runs, pipeline]
+             op8_quality, op9_simhash, op10_packing, op11_collocations, op12_class_lm, op13_periodic_runs,
+             pipeline]
     return {f.__name__: f for f in found}
 
 
