@@ -10,7 +10,8 @@ than 1 / ``FREQUENT`` of the training tokens (fewer than ``FREQUENT``, by that
 definition) are exchanged: each task counts the classes to the left and right
 of each, the counts are summed, and a word moves to the class where the
 likelihood of all class bigrams gains most.  The most frequent words seed the
-classes; after the first round every other word may move in turn.  Then every
+classes; after the first round every other word may move in turn, until the
+likelihood falls (that round is taken back) or ROUNDS are done.  Then every
 rarer word of the corpus, however many there are, is moved from the class of
 rare words by the same gain (to first order), from all of its occurrences.
 Transitions are then counted anew over all tokens.
@@ -49,7 +50,8 @@ from vitaldf.llm.common import discard, saved, text_or_empty
 
 CLASSES = 64
 FREQUENT = 1 << 14
-ROUNDS = 5
+#: rounds of exchanges at most; they end before if one lowers the likelihood
+ROUNDS = 3
 #: tokens that a task codes with one word list
 BLOCK_TOKENS = 1 << 21
 #: weight of the classes' own shares, in tokens, in the transitions after a class
@@ -156,7 +158,7 @@ class Model:
     """The frequent words with their counts and classes; numbers of the other classes."""
 
     def __init__(self, words: list[str], counts: list[int], classes: int):
-        self.at = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.string())
         self.counts = np.array(counts, np.int64)
         self.classes = classes
         #: of words that have no class yet (later: of unknown words), and of the end
@@ -164,19 +166,32 @@ class Model:
         self.all = classes + 2
         self.of = np.where(np.arange(len(words)) < classes, np.arange(len(words)), self.rare).astype(np.int64)
 
-    def numbers(self, words: list[str]) -> np.ndarray:
+    def numbers(self, words: pa.Array) -> np.ndarray:
         """The frequent word's number for each of a word list, or -1."""
-        return np.fromiter((self.at.get(w, -1) for w in words), np.int64, len(words))
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
 
 
-def _training(row: dict, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """A block's columns: lists as arrays, other values as they are."""
+    for b in batches:
+        for i in range(b.num_rows):
+            row = {}
+            for name, column in zip(b.schema.names, b.columns):
+                value = column[i]
+                row[name] = value.values if isinstance(value, pa.ListScalar) else value.as_py()
+            if "train" in row:
+                row["train"] = row["train"].to_numpy(zero_copy_only=False).astype(bool)
+                row["lengths"] = row["lengths"].to_numpy().astype(np.int64)
+            yield row
+
+
+def _training(row: dict, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of a block's training tokens after an end, frequent words' numbers, classes."""
-    lengths = np.array(row["lengths"], np.int64)
-    codes = np.insert(_numbers(row["codes"])[np.repeat(np.array(row["train"], bool), lengths)], 0, 0)
+    codes = np.insert(_numbers(row["codes"])[np.repeat(row["train"], row["lengths"])], 0, 0)
     number = model.numbers(row["words"])
     own = np.where(number < 0, model.rare, model.of[number] if len(model.of) else model.rare)
     own[0] = model.end
-    return codes, number[codes], own[codes], number
+    return codes, number[codes], own[codes]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -185,16 +200,15 @@ def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
     Part -1 counts the bigrams of classes.
     """
     model = shared.value
-    m, n = model.all, -(-len(model.at) // _RANGE) * _RANGE
+    m, n = model.all, -(-len(model.of) // _RANGE) * _RANGE
     around, pairs = np.zeros(n * 2 * m, np.int64), np.zeros(m * m, np.int64)
-    for b in batches:
-        for row in b.to_pylist():
-            _, number, own, _ = _training(row, model)
-            pairs += np.bincount(own[:-1] * m + own[1:], minlength=m * m)
-            at = np.flatnonzero(number >= 0)
-            place = number[at] * 2 * m
-            around += np.bincount(place + own[at - 1], minlength=len(around))
-            around += np.bincount(place + m + own[at + 1], minlength=len(around))
+    for row in _blocks(batches):
+        _, number, own = _training(row, model)
+        pairs += np.bincount(own[:-1] * m + own[1:], minlength=m * m)
+        at = np.flatnonzero(number >= 0)
+        place = number[at] * 2 * m
+        around += np.bincount(place + own[at - 1], minlength=len(around))
+        around += np.bincount(place + m + own[at + 1], minlength=len(around))
     yield _part(-1, pairs)
     for i, counts in enumerate(around.reshape(-1, _RANGE * 2 * m)):
         if counts.any():
@@ -265,20 +279,25 @@ def exchange(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray
     """Set the frequent words' classes in ``model``; the counts of class bigrams under them."""
     context = coded.sparkSession.sparkContext
     rows = coded.select("train", "lengths", "codes", "words")
-    ranges = -(-len(model.at) // _RANGE)
+    ranges = -(-len(model.of) // _RANGE)
     pairs = np.zeros((model.all, model.all), np.int64)
+    best = None
     for i in range(rounds + 1):
         shared = context.broadcast(model)  # fewer than FREQUENT words
         sums = summed(rows.mapInArrow(partial(_contexts, shared=shared), "part long, counts binary"),
                       ranges + 1, "contexts")
         for r in sums.where("part = -1").collect():
             pairs = _numbers(bytes(r["counts"]), np.int64).reshape(model.all, model.all)
-        if i == rounds:
+        gained = _xlogx(pairs).sum() - 2 * _xlogx(pairs.sum(1)).sum()
+        if best is not None and gained < best[0]:  # words that moved at once met others that moved
+            _, model.of, pairs = best
             break
-        moves = sums.where("part >= 0").mapInArrow(
-            partial(_moves, shared=shared, pairs=pairs, turn=i % 2 if i else None), "word long, class long")
-        for r in moves.collect():  # fewer than FREQUENT
-            model.of[r["word"]] = r["class"]
+        best = gained, model.of.copy(), pairs
+        if i < rounds:
+            moves = sums.where("part >= 0").mapInArrow(
+                partial(_moves, shared=shared, pairs=pairs, turn=i % 2 if i else None), "word long, class long")
+            for r in moves.collect():  # fewer than FREQUENT
+                model.of[r["word"]] = r["class"]
         discard(sums)
     return pairs
 
@@ -288,18 +307,17 @@ def exchange(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray
 def _rare_contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """(word, around): a byte for the class on each side of each training occurrence in a block."""
     model = shared.value
-    for b in batches:
-        for row in b.to_pylist():
-            codes, number, own, _ = _training(row, model)
-            at = np.flatnonzero((number < 0) & (codes > 0))
-            at = at[np.argsort(codes[at], kind="stable")]
-            around = np.column_stack([own[at - 1], own[at + 1] + model.all]).astype(np.uint8)
-            first = np.flatnonzero(np.diff(codes[at], prepend=-1))
-            words = pa.array(row["words"]).take(pa.array(codes[at[first]]))
-            ends = np.append(first, len(at)).astype(np.int32) * 2
-            values = pa.BinaryArray.from_buffers(
-                pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(around.tobytes())])
-            yield pa.RecordBatch.from_arrays([words, values], ["word", "around"])
+    for row in _blocks(batches):
+        codes, number, own = _training(row, model)
+        at = np.flatnonzero((number < 0) & (codes > 0))
+        at = at[np.argsort(codes[at], kind="stable")]
+        around = np.column_stack([own[at - 1], own[at + 1] + model.all]).astype(np.uint8)
+        first = np.flatnonzero(np.diff(codes[at], prepend=-1))
+        words = row["words"].take(pa.array(codes[at[first]]))
+        ends = np.append(first, len(at)).astype(np.int32) * 2
+        values = pa.BinaryArray.from_buffers(
+            pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(around.tobytes())])
+        yield pa.RecordBatch.from_arrays([words, values], ["word", "around"])
 
 
 def _rare_classes(batches: Iterator[pa.RecordBatch], classes: int, after: np.ndarray,
@@ -351,60 +369,54 @@ def place_rare(coded: DataFrame, model: Model, pairs: np.ndarray) -> DataFrame:
 def _rare_entries(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """(block, code, word) of the words that are not frequent."""
     model = shared.value
-    for b in batches:
-        for block, words in zip(b.column(0).to_pylist(), b.column(1)):
-            rare = model.numbers(words.as_py()) < 0
-            rare[0] = False
-            at = np.flatnonzero(rare)
-            for i in range(0, len(at), 1 << 15):
-                part = pa.array(at[i:i + (1 << 15)].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), block, np.int64)), part, words.values.take(part)],
-                    ["block", "code", "word"])
+    for row in _blocks(batches):
+        rare = model.numbers(row["words"]) < 0
+        rare[0] = False
+        at = np.flatnonzero(rare)
+        for i in range(0, len(at), 1 << 15):
+            part = pa.array(at[i:i + (1 << 15)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), row["block"], np.int64)), part, row["words"].take(part)],
+                ["block", "code", "word"])
 
 
 def _classed(batches: Iterator[pa.RecordBatch], shared, ends: int, tokens: int, distinct: int,
              sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Per block: ids, classes of all tokens, and sums of each text."""
     model = shared.value
-    for b in batches:
-        ids = b.column("ids")
-        for i, row in enumerate(b.drop_columns(["ids"]).to_pylist()):
-            codes, lengths = _numbers(row["codes"]), np.array(row["lengths"], np.int64)
-            number = model.numbers(row["words"])
-            kind = np.full(len(number), model.rare, np.int64)
-            count = np.zeros(len(number), np.int64)
-            some = number >= 0
-            kind[some], count[some] = model.of[number[some]], model.counts[number[some]]
-            if row["entries"]:
-                at, k, c = (np.array([e[x] for e in row["entries"]], np.int64) for x in ("code", "class", "c"))
-                kind[at], count[at] = k, c
-            kind[0], count[0] = model.end, ends
-            base = np.log10((count + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            within = np.where(count > 0, np.log10(np.maximum(count, 1) / np.maximum(sizes[kind], 1)), 0.0)
-            starts = np.cumsum(lengths) - lengths
-            own = (kind | np.where(count == 1, _ONCE, 0)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(i, 1), _one(np.array(row["train"], bool)), _one(lengths.astype(np.int32)),
-                 _one(np.add.reduceat((count > 0).astype(np.int64)[codes], starts)),
-                 _one(np.add.reduceat(base[codes], starts)), _one(np.add.reduceat(within[codes], starts)),
-                 pa.array([zstandard.compress(own[codes].tobytes(), 3)], pa.binary())],
-                ["ids", "train", "lengths", "known", "base", "within", "own"])
+    for row in _blocks(batches):
+        codes, lengths, number = _numbers(row["codes"]), row["lengths"], model.numbers(row["words"])
+        kind = np.full(len(number), model.rare, np.int64)
+        count = np.zeros(len(number), np.int64)
+        some = number >= 0
+        kind[some], count[some] = model.of[number[some]], model.counts[number[some]]
+        if row["entries"] is not None:
+            at = row["entries"].field("code").to_numpy()
+            kind[at], count[at] = row["entries"].field("class").to_numpy(), row["entries"].field("c").to_numpy()
+        kind[0], count[0] = model.end, ends
+        base = np.log10((count + 0.5) / (tokens + 0.5 * (distinct + 1)))
+        within = np.where(count > 0, np.log10(np.maximum(count, 1) / np.maximum(sizes[kind], 1)), 0.0)
+        starts = np.cumsum(lengths) - lengths
+        own = (kind | np.where(count == 1, _ONCE, 0)).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [_one(row["ids"]), _one(row["train"]), _one(lengths.astype(np.int32)),
+             _one(np.add.reduceat((count > 0).astype(np.int64)[codes], starts)),
+             _one(np.add.reduceat(base[codes], starts)), _one(np.add.reduceat(within[codes], starts)),
+             pa.array([zstandard.compress(own[codes].tobytes(), 3)], pa.binary())],
+            ["ids", "train", "lengths", "known", "base", "within", "own"])
 
 
 def _transitions(batches: Iterator[pa.RecordBatch], m: int) -> Iterator[pa.RecordBatch]:
     """Bigrams of classes in training texts; of those, with a word seen once before or after."""
     sums = np.zeros(3 * m * m, np.int64)
-    for b in batches:
-        for row in b.to_pylist():
-            own = np.frombuffer(zstandard.decompress(row["own"]), np.uint8)
-            own = own[np.repeat(np.array(row["train"], bool), np.array(row["lengths"], np.int64))]
-            own = np.insert(own, 0, m - 1)
-            kind, once = (own & ~np.uint8(_ONCE)).astype(np.int64), (own & _ONCE) > 0
-            once &= kind < m - 2
-            cell = kind[:-1] * m + kind[1:]
-            for i, some in enumerate((slice(None), once[:-1], once[1:])):
-                sums[i * m * m:(i + 1) * m * m] += np.bincount(cell[some], minlength=m * m)
+    for row in _blocks(batches):
+        own = np.frombuffer(zstandard.decompress(row["own"]), np.uint8)
+        own = np.insert(own[np.repeat(row["train"], row["lengths"])], 0, m - 1)
+        kind, once = (own & ~np.uint8(_ONCE)).astype(np.int64), (own & _ONCE) > 0
+        once &= kind < m - 2
+        cell = kind[:-1] * m + kind[1:]
+        for i, some in enumerate((slice(None), once[:-1], once[1:])):
+            sums[i * m * m:(i + 1) * m * m] += np.bincount(cell[some], minlength=m * m)
     yield _part(0, sums)
 
 
@@ -431,17 +443,15 @@ def log_transitions(pairs: np.ndarray, first_once: np.ndarray, second_once: np.n
 
 def _scored(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
     end = len(table) - 1
-    for b in batches:
-        for i in range(b.num_rows):
-            row = {x: b.column(x)[i].values for x in ("ids", "train", "lengths", "known", "base", "within")}
-            own = np.frombuffer(zstandard.decompress(b.column("own")[i].as_py()), np.uint8) & ~np.uint8(_ONCE)
-            before = np.insert(own[:-1], 0, end)
-            lengths = row["lengths"].to_numpy().astype(np.int64)
-            score = np.add.reduceat(table[before, own], np.cumsum(lengths) - lengths)
-            yield pa.RecordBatch.from_arrays(
-                [row["ids"], pa.array(~row["train"].to_numpy(zero_copy_only=False).astype(bool)), pa.array(lengths),
-                 row["known"], row["base"], pa.array(score + row["within"].to_numpy())],
-                ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+    for row in _blocks(batches):
+        own = np.frombuffer(zstandard.decompress(row["own"]), np.uint8) & ~np.uint8(_ONCE)
+        before = np.insert(own[:-1], 0, end)
+        lengths = row["lengths"]
+        score = np.add.reduceat(table[before, own], np.cumsum(lengths) - lengths)
+        yield pa.RecordBatch.from_arrays(
+            [row["ids"], pa.array(~row["train"]), pa.array(lengths), row["known"], row["base"],
+             pa.array(score + row["within"].to_numpy())],
+            ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
 def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
