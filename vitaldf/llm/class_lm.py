@@ -53,7 +53,7 @@ FREQUENT = 1 << 14
 #: rounds of exchanges at most; they end before if one lowers the likelihood
 ROUNDS = 3
 #: tokens that a task codes with one word list
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 #: weight of the classes' own shares, in tokens, in the transitions after a class
 MIXED = 20.0
 #: words of one matrix of contexts
@@ -83,7 +83,8 @@ def _ends_and_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     some = pc.not_equal(words, "")
     coded = words.filter(some).dictionary_encode()
     per_text = np.bincount(text.filter(some).to_numpy(), minlength=len(texts))
-    codes = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), -1)
+    del lists, words, text, some
+    codes = np.insert(coded.indices.to_numpy(), np.cumsum(per_text), -1)
     return coded.dictionary, codes, np.cumsum(per_text + 1)
 
 
@@ -103,7 +104,7 @@ class _Block:
         distinct, codes, ends = _ends_and_codes(texts)
         known = self.words
         own = np.fromiter((known.setdefault(w, len(known)) for w in distinct.to_pylist()), np.int64, len(distinct))
-        self.codes.append(np.append(own, 0)[codes])
+        self.codes.append(np.append(own, 0).astype(np.int32)[codes])
         self.lengths.append(np.diff(ends, prepend=0))
         self.ids.append(ids)
         self.train.append(train)
@@ -133,6 +134,7 @@ def _coded(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa.
         if not b.num_rows:
             continue
         block.add(b.column(0), b.column(1), b.column(2).to_numpy(zero_copy_only=False).astype(bool))
+        pa.default_memory_pool().release_unused()
         if block.tokens >= block_tokens:
             yield block.row(first + n)
             block, n = _Block(), n + 1
