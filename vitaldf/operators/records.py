@@ -22,6 +22,8 @@ from vitaldf.schema import PRE_RECORD, RECORD, REJECT
 META_COLS = ("origin", "occurrence")
 ID_SEP = "\u001f"
 COPIES_AT_ONCE = 1 << 14
+#: row hashes sent to every task, 8 bytes each
+MAX_REPEATED = 1 << 16
 
 
 def header_cols(df: DataFrame) -> list[str]:
@@ -31,14 +33,44 @@ def header_cols(df: DataFrame) -> list[str]:
 def with_occurrence(raw: DataFrame) -> DataFrame:
     """Number identical raw rows of one origin 1..k (bag semantics, stable ids).
 
+    Only hashes of the rows are shuffled: those seen twice or more are few,
+    and a row with another hash has no copy and keeps its place as number 1.
+    The rest (and, where very many hashes repeat, all rows) are counted and
+    regenerated by :func:`numbered_copies`.  Equal hashes of different rows
+    send them there too, which changes no number.
+
+    The hashes are counted when the plan is built, by one job over ``raw``.
+    """
+    if "occurrence" in raw.columns:
+        return raw
+    spark = raw.sparkSession
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])
+    found = (raw.select(row.alias("__row")).groupBy("__row").agg(F.count(F.lit(1)).alias("__copies"))
+             .filter(F.col("__copies") > 1).select("__row").limit(MAX_REPEATED + 1).collect())
+    alone = F.lit(1).cast("bigint").alias("occurrence")
+    if not found:
+        return raw.select("*", alone)
+    if len(found) > MAX_REPEATED:
+        return numbered_copies(raw)
+    repeated = F.broadcast(spark.createDataFrame(found, "__row bigint"))  # at most MAX_REPEATED
+    hashed = raw.withColumn("__row", row)
+    return hashed.join(repeated, "__row", "left_anti").select(*raw_cols(raw), alone).unionByName(
+        numbered_copies(hashed.join(repeated, "__row", "left_semi").select(*raw_cols(raw))))
+
+
+def raw_cols(raw: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in raw.columns]
+
+
+def numbered_copies(raw: DataFrame) -> DataFrame:
+    """``raw`` with ``occurrence``, by a whole-row shuffle.
+
     Identical rows are counted with a hash aggregate whose partial
     (map-side) step collapses a hot duplicate before the shuffle, then the
     copies are regenerated, COPIES_AT_ONCE at a time.  No group is ever
     buffered, however many copies it holds.
     """
-    if "occurrence" in raw.columns:
-        return raw
-    keys = [F.col(f"`{c}`") for c in raw.columns]
+    keys = raw_cols(raw)
     counted = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
     first = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"), F.lit(COPIES_AT_ONCE))
     return counted.select(*keys, "__copies", F.explode(first).alias("__first")).select(

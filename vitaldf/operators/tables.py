@@ -1,12 +1,15 @@
 """Health records -> relational tables (parent + typed detail tables).
 
-Each table is a filtered projection of the record DataFrame.  When the
-records are stored partitioned by ``data_type`` the filters prune whole
-partitions, so each detail table reads only its own slice.
+Each table is a filtered projection of the record DataFrame (with the columns
+``extra`` of the records beside its own, where given).  When the records are
+stored partitioned by ``data_type`` the filters prune whole partitions, so
+each detail table reads only its own slice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +38,14 @@ def _hours(metric_col: Column) -> Column:
             .otherwise(v))
 
 
-def map_health_records(records: DataFrame) -> DataFrame:
+def map_health_records(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return records.select(
         "id", "timestamp", "date_only", "source", "data_type", "sub_type",
         "processed_at", F.coalesce(F.col("raw_data"), F.lit("{}")).alias("raw_data"),
-        F.col("processed_at").alias("created_at"))
+        F.col("processed_at").alias("created_at"), *extra)
 
 
-def map_fitness(records: DataFrame) -> DataFrame:
+def map_fitness(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return records.filter(_dt("fitness")).select(
         F.col("id").alias("record_id"),
         metric_value(m("steps")).alias("steps"),
@@ -63,10 +66,11 @@ def map_fitness(records: DataFrame) -> DataFrame:
         time_of("start_time").alias("start_time"),
         time_of("end_time").alias("end_time"),
         F.coalesce(attr("activity_id"), attr("workout_id")).alias("activity_id"),
+        *extra,
     )
 
 
-def map_vitals(records: DataFrame) -> DataFrame:
+def map_vitals(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     sys_m = m("bp_systolic")
     return records.filter(_dt("health")).select(
         F.col("id").alias("record_id"),
@@ -99,10 +103,11 @@ def map_vitals(records: DataFrame) -> DataFrame:
         metric_confidence(m("body_temperature")).alias("temperature_confidence"),
         attr("device_name").alias("device_name"),
         attr("measurement_source").alias("measurement_source"),
+        *extra,
     )
 
 
-def map_sleep(records: DataFrame) -> DataFrame:
+def map_sleep(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     awake = F.coalesce(m("awake_time"), m("awake_minutes"))
     return records.filter(_dt("sleep")).select(
         F.col("id").alias("record_id"),
@@ -127,10 +132,11 @@ def map_sleep(records: DataFrame) -> DataFrame:
         attr("wake_mood").alias("wake_mood"),
         attr("sleep_notes").alias("sleep_notes"),
         attr("measurement_source").alias("measurement_source"),
+        *extra,
     )
 
 
-def map_habits(records: DataFrame) -> DataFrame:
+def map_habits(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return records.filter(_dt("habits")).select(
         F.col("id").alias("record_id"),
         attr("habit_id").alias("habit_id"),
@@ -146,6 +152,7 @@ def map_habits(records: DataFrame) -> DataFrame:
         or_default(metric_confidence(m("completion_confidence")), 1.0).alias("completion_confidence"),
         F.when(attr("notes") != "", attr("notes")).alias("notes"),
         F.coalesce(attr("coach_me_url"), attr("external_url")).alias("external_url"),
+        *extra,
     )
 
 
@@ -156,7 +163,7 @@ def has_symptom(records_col_free: bool = True) -> Column:
             | m("pain_intensity").isNotNull())
 
 
-def map_symptoms(records: DataFrame) -> DataFrame:
+def map_symptoms(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return records.filter(has_symptom()).select(
         F.col("id").alias("record_id"),
         attr("condition").alias("condition"),
@@ -173,10 +180,11 @@ def map_symptoms(records: DataFrame) -> DataFrame:
         F.coalesce(attr("impact_level"), attr("severity")).alias("impact_level"),
         F.when(attr("notes") != "", attr("notes")).alias("notes"),
         F.coalesce(attr("medication_taken").cast("boolean"), F.lit(False)).alias("medication_taken"),
+        *extra,
     )
 
 
-def map_medications(records: DataFrame) -> DataFrame:
+def map_medications(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return records.filter(attr("medication_name").isNotNull()).select(
         F.col("id").alias("record_id"),
         attr("medication_name").alias("medication_name"),
@@ -186,10 +194,11 @@ def map_medications(records: DataFrame) -> DataFrame:
         attr("frequency").alias("frequency"),
         F.col("timestamp").alias("taken_at"),
         F.when(attr("notes") != "", attr("notes")).alias("notes"),
+        *extra,
     )
 
 
-def map_locations(records: DataFrame) -> DataFrame:
+def map_locations(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     loc = F.col("location")
     visit = F.coalesce(m("visit_duration"), m("duration"))
     return records.filter(_dt("location")).select(
@@ -206,6 +215,7 @@ def map_locations(records: DataFrame) -> DataFrame:
         metric_unit(visit, "minutes").alias("visit_duration_unit"),
         metric_confidence(visit).alias("visit_duration_confidence"),
         attr("measurement_source").alias("measurement_source"),
+        *extra,
     )
 
 
@@ -227,6 +237,11 @@ MAPPERS = {
 }
 
 
+#: the data type of the records that a table is made from, where there is one
+DATA_TYPE_OF = {"fitness_metrics": "fitness", "health_vitals": "health", "sleep_sessions": "sleep",
+                "habits": "habits", "location_data": "location"}
+
+
 def route_records(records: DataFrame) -> dict[str, DataFrame]:
     """Parent + every detail table as lazily derived DataFrames."""
     return {name: fn(records) for name, fn in MAPPERS.items()}

@@ -378,7 +378,6 @@ def _store(spark) -> Store:
 @q("sink_tables", _table_counts_sql)
 def sink_tables(spark):
     st = _store(spark)
-    st.write_tables()
     parts = [st.table(n).select(F.lit(n).alias("table_name")) for n in TB.MAPPERS]
     return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("row_count"))

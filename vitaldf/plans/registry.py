@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,14 +83,22 @@ MANUAL = [k for k in LAYOUTS if k.startswith("manual_")]
 MOVES = [k for k in LAYOUTS if k.startswith("moves_")]
 
 
+LAYOUTS_AT_ONCE = 8
 ALL_LAYOUTS = tuple(k for k in LAYOUTS if not k.startswith("gyro_")) + ("gyro_all",)
 
 
 def pre(spark: SparkSession, *names: str) -> DataFrame:
     names = names or ALL_LAYOUTS
-    return _memo("pre", spark, names, lambda: reduce(
-        DataFrame.unionByName, [_memo("layout", spark, (n,), lambda n=n: LAYOUTS[n](spark))
-                                for n in names]))
+
+    def layout(n):
+        return _memo("layout", spark, (n,), lambda: LAYOUTS[n](spark))
+
+    def build():
+        # each layout counts row hashes when it is built: the jobs of several run side by side
+        with ThreadPoolExecutor(min(len(names), LAYOUTS_AT_ONCE)) as pool:
+            return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(spark)(layout), names))
+
+    return _memo("pre", spark, names, build)
 
 
 def _store_all(spark: SparkSession) -> DataFrame:
