@@ -53,7 +53,7 @@ FREQUENT = 1 << 14
 #: rounds of exchanges at most; they end before if one lowers the likelihood
 ROUNDS = 3
 #: tokens that a task codes with one word list
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 21
 #: weight of the classes' own shares, in tokens, in the transitions after a class
 MIXED = 20.0
 #: words of one matrix of contexts
@@ -472,6 +472,7 @@ def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     tokens, ends = tokens or 0, ends or 0
     often = (vocabulary.where((F.col("c") * frequent > tokens) & (F.col("word") != END))
              .orderBy(F.col("c").desc(), "word").collect())  # fewer than ``frequent``
+    discard(vocabulary)
     model = Model([r["word"] for r in often], [r["c"] for r in often], classes)
     pairs = exchange(coded, model, rounds)
     rare = place_rare(coded, model, pairs)
@@ -491,7 +492,7 @@ def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
         f"ids {kind}, train array<boolean>, lengths array<int>, known array<long>, base array<double>, "
         "within array<double>, own binary"), "classed")
     m = model.all
-    discard(coded, rare, vocabulary)
+    discard(coded, rare)
     parts = summed(classed.select("own", "train", "lengths").mapInArrow(
         partial(_transitions, m=m), "part long, counts binary"), 1, "transitions")
     counts = np.zeros((3, m, m), np.int64)
