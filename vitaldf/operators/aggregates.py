@@ -43,15 +43,19 @@ def agg_table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def agg_processing_stats(finalized: DataFrame) -> DataFrame:
-    """Per source: records, errors, success rate, distinct sub-types, date range."""
+    """Per source: records, errors, success rate, distinct sub-types, date range.
+
+    Grouped by source and sub-type first, then folded: a sub-type reaches a
+    source's list once, however many rows have it.
+    """
     ok = F.col("reason").isNull()
-    g = finalized.groupBy("source").agg(
-        F.count_if(ok).alias("total_records"),
-        F.count_if(~ok).alias("total_errors"),
-        F.array_sort(F.collect_set(F.when(ok, F.col("sub_type")))).alias("sub_types"),
-        F.min(F.when(ok, F.col("timestamp"))).alias("earliest"),
-        F.max(F.when(ok, F.col("timestamp"))).alias("latest"),
-    )
+    by_type = finalized.groupBy("source", "sub_type").agg(
+        F.count_if(ok).alias("ok"), F.count_if(~ok).alias("bad"),
+        F.min(F.when(ok, F.col("timestamp"))).alias("first"), F.max(F.when(ok, F.col("timestamp"))).alias("last"))
+    g = by_type.groupBy("source").agg(
+        F.sum("ok").alias("total_records"), F.sum("bad").alias("total_errors"),
+        F.array_sort(F.collect_list(F.when(F.col("ok") > 0, F.col("sub_type")))).alias("sub_types"),
+        F.min("first").alias("earliest"), F.max("last").alias("latest"))
     total = F.col("total_records") + F.col("total_errors")
     return g.withColumn("success_rate",
                         F.when(total > 0, F.col("total_records") / total).otherwise(F.lit(0.0)))

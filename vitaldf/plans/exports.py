@@ -9,8 +9,11 @@ never per row).  Used to exercise the file readers at full table size.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,30 +36,54 @@ def write_named(spark: SparkSession, df: DataFrame, base: str, fmt: str = "csv",
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save(staging)
-    fs, root = _fs(spark, staging)
+    store, root = _fs(spark, staging)
     jvm = spark._jvm
     out = []
-    for st in fs.listStatus(root):
+    for st in store.listStatus(root):
         name = st.getPath().getName()
         if not st.isDirectory() or not name.startswith(f"{name_col}="):
             continue
         origin = unquote(name[len(name_col) + 1:])
-        parts = [f for f in fs.listStatus(st.getPath())
+        parts = [f for f in store.listStatus(st.getPath())
                  if f.getPath().getName().startswith("part-")]
         for i, f in enumerate(sorted(parts, key=lambda s: s.getPath().getName())):
             target = f"{base.rstrip('/')}/{origin}" if i == 0 else \
                 f"{base.rstrip('/')}/p{i}/{origin}"
             tp = jvm.org.apache.hadoop.fs.Path(target)
-            fs.mkdirs(tp.getParent())
-            fs.rename(f.getPath(), tp)
+            store.mkdirs(tp.getParent())
+            store.rename(f.getPath(), tp)
             out.append(target)
     return sorted(out)
 
 
+def _written_each(batches, base: str):
+    """Each row's ``value`` as a file called ``name``; a task run again writes the same files."""
+    store, place = fs.FileSystem.from_uri(base if "://" in base else "file://" + base.removeprefix("file:"))
+    n = 0
+    for b in batches:
+        for name, value in zip(b.column("name").to_pylist(), b.column("value").to_pylist()):
+            with store.open_output_stream(f"{place}/{name}") as out:
+                out.write(value.encode())
+            n += 1
+    yield pa.RecordBatch.from_arrays([pa.array([n])], ["files"])
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    f, p = _fs(spark, path)
+    f.mkdirs(p)
+
+
+def write_each(spark: SparkSession, rows: DataFrame, base: str) -> int:
+    """One small file for each row (name, value) in the folder ``base``, written by the tasks."""
+    make_folder(spark, base)
+    wrote = rows.select("name", "value").mapInArrow(partial(_written_each, base=base), "files long")
+    return wrote.agg(F.sum("files")).first()[0] or 0
+
+
 def remove_files(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
-        fs, p = _fs(spark, path)
-        fs.delete(p, False)
+        f, p = _fs(spark, path)
+        f.delete(p, False)
 
 
 def write_json_arrays(spark: SparkSession, items: DataFrame, base: str, per_file: int = 1000) -> list[str]:

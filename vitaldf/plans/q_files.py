@@ -20,7 +20,7 @@ from vitaldf.operators.records import build_records, finalize, rejects
 from vitaldf.operators.store import Store, sink_json_by_type
 from vitaldf.plans import oracle as O
 from vitaldf.plans import testdata as TD
-from vitaldf.plans.exports import remove_files, write_json_arrays, write_named
+from vitaldf.plans.exports import remove_files, write_each, write_json_arrays, write_named
 from vitaldf.plans.q_tables import ALL_OK, _discover_rules_sql, _inventory_spark, _table_counts_sql, \
     claimed_sql, inventory_sql
 from vitaldf.plans.registry import fin, q, recs, ts_out
@@ -127,12 +127,13 @@ def scan_json_array(spark):
 @q("scan_json_document", lambda: f"""
     SELECT origin, {R('ts')} AS timestamp, steps, fuel_points FROM ({ok(O.o_nike_summary())}) t""")
 def scan_json_document(spark):
+    """Every document in a file of its own, whose name holds its date."""
     docs = TD.raw_minutes(spark)
     base = shared_dir(spark, "export-nike")
-    docs.write.json(base)
-    raw = nike.read_lines(spark, [base])
-    r = build_records(nike.normalize(raw)).filter(F.col("sub_type") == "activity")
-    return r.select("origin", _ts(), F.col("metrics")["steps"]["value"].alias("steps"),
+    text = F.to_json(F.struct(*[c for c in docs.columns if c != "origin"]))
+    write_each(spark, docs.select(F.col("origin").alias("name"), text.alias("value")), base)
+    r = build_records(nike.normalize(nike.read(spark, [base]))).filter(F.col("sub_type") == "activity")
+    return r.select(V.file_name(F.col("origin")).alias("origin"), _ts(), F.col("metrics")["steps"]["value"].alias("steps"),
                     F.col("metrics")["fuel_points"]["value"].alias("fuel_points"))
 
 
@@ -250,13 +251,31 @@ def scan_table(spark):
                      "WHERE source = :src GROUP BY sub_type", args={"src": "gyroscope"})
 
 
-@q("scan_file_inventory", lambda: """
-    SELECT 'csv' AS ext, count(DISTINCT l_suppkey % 10) AS files FROM lineitem""")
+# Export lines in a text file for each user's day of the month, and each user's first day once more as an
+# archive, which the inventory leaves out.
+_INV_LINE = "coalesce(date, '') || ',' || coalesce(steps, '')"
+_INV_NAME = "'d' || coalesce(right(date, 2), 'none') || '.csv'"
+
+
+@q("scan_file_inventory", lambda: f"""
+    SELECT regexp_extract(origin, '^(.*)-steps-export.csv$', 1) AS dir_name, {_INV_NAME} AS name, 'csv' AS ext,
+           sum(strlen({_INV_LINE}) + 1)::BIGINT AS length, true AS dated
+    FROM ({TD.steps_sql(D)}) s GROUP BY 1, 2""")
 def scan_file_inventory(spark):
-    paths = _write_csv(spark, TD.raw_steps(spark), "export-inv")
-    root = min(paths, key=len).rsplit("/", 1)[0]
+    """Names, folders, sizes and times of files below a root (a name's parts together), without archives."""
+    lines = TD.raw_steps(spark).select(
+        F.regexp_extract("origin", "^(.*)-steps-export.csv$", 1).alias("folder"), F.expr(_INV_NAME).alias("file"),
+        F.expr(_INV_LINE).alias("value"))
+    named = lines.select(F.concat_ws("/", "folder", "file").alias("origin"), "value")
+    archived = lines.filter(F.col("file") == "d01.csv").select(
+        F.concat(F.col("folder"), F.lit("/backup.zip")).alias("origin"), "value")
+    root = shared_dir(spark, "export-inv")
+    write_named(spark, named.unionByName(archived), root, "text")
     inv = files.scan_file_inventory(spark, root)
-    return inv.groupBy("ext").agg(F.count_distinct("name").alias("files"))
+    recent = F.col("modificationTime").between(F.current_timestamp() - F.expr("interval 1 day"),
+                                               F.current_timestamp() + F.expr("interval 1 day"))
+    return inv.groupBy("dir_name", "name", "ext").agg(F.sum("length").alias("length"),
+                                                      F.bool_and(recent).alias("dated"))
 
 
 # ------------------------------------------------------ discovery / classify
