@@ -11,6 +11,7 @@ from vitaldf import functions as V
 from vitaldf.operators.records import (header_cols, pre_record, union_all,
                                        with_occurrence, with_raw_json)
 from vitaldf.schema import MILES_TO_METRES
+from vitaldf.sources import json_arrays
 
 SOURCE = "moves"
 
@@ -210,10 +211,13 @@ def read_json(spark: SparkSession, paths: list[str], kind: str, multi_line: bool
               ) -> DataFrame:
     """Top-level JSON arrays -> one raw row per element (+ ``origin``).
 
-    ``multi_line=False`` reads JSON-lines files (one item per line), which
-    Spark can split across tasks.
+    Arrays of a known kind are read by byte ranges, however large the file.
+    ``multi_line=False`` reads JSON-lines files (one item per line).
     """
     schema = JSON_SCHEMAS.get(kind)
+    if schema is not None and multi_line:
+        return (json_arrays.elements(spark, paths).select(F.from_json("value", schema).alias("item"), "origin")
+                .select("item.*", "origin"))
     reader = spark.read.option("multiLine", multi_line)
     reader = reader.schema(schema) if schema is not None else reader
     return reader.json(paths).withColumn("origin", F.col("_metadata.file_path"))
