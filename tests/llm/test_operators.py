@@ -128,6 +128,22 @@ def test_poisson_table_is_the_distribution(spark):
             assert np.allclose(cdf, want)
 
 
+def test_large_rates(spark):
+    """Tables that start near the mode; a million copies of a document on average."""
+    from math import exp, lgamma, log
+    for rate in (999.0, 1000.0, 40_000.0, 1e6):
+        first, cdf = spark.range(1).select(mixing.poisson_first(F.lit(rate)), mixing.poisson_cdf(F.lit(rate))).first()
+        assert abs(cdf[-1] - 1) < 1e-6 and len(cdf) < 30 * rate ** 0.5 + 1500
+        at = int(rate) - first
+        assert abs(cdf[at] - cdf[at - 1] - exp(rate // 1 * log(rate) - rate - lgamma(rate // 1 + 1))) < 1e-9
+    u = [0.0, 0.1, 0.5, 0.75, 1.0, 2.0]
+    got = spark.createDataFrame([([0.1, 0.5, 0.5, 0.9], x) for x in u] + [([], 0.5)], "c array<double>, u double")
+    assert [r[0] for r in got.select(mixing.numbers_below(F.col("c"), F.col("u"))).collect()] == [0, 0, 1, 3, 4, 4, 0]
+    docs = spark.createDataFrame([(1, "a", "s")], "doc_id long, text string, source string")
+    n = mixing.mix(docs, weights={"s": 1.0}, epochs=1e6).count()
+    assert abs(n - 1e6) < 6000
+
+
 def test_mixing_edge_rows(edge_docs, no_docs):
     got = mixing.mix(edge_docs, copy_col="copy_no").collect()
     assert {r["source"] for r in got} <= {None, "s0", "s1", "s2"}
