@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vitaldf.functions import (barrier, blank_to_null, json_raw, metric_map, null_location,
@@ -24,6 +24,8 @@ ID_SEP = "\u001f"
 COPIES_AT_ONCE = 1 << 14
 #: row hashes sent to every task, 8 bytes each
 MAX_REPEATED = 1 << 16
+#: rows are numbered in place if at most one in so many has a copy
+MOSTLY_ALONE = 100
 
 
 def header_cols(df: DataFrame) -> list[str]:
@@ -35,9 +37,9 @@ def with_occurrence(raw: DataFrame) -> DataFrame:
 
     Only hashes of the rows are shuffled: those seen twice or more are few,
     and a row with another hash has no copy and keeps its place as number 1.
-    The rest (and, where very many hashes repeat, all rows) are counted and
-    regenerated by :func:`numbered_copies`.  Equal hashes of different rows
-    send them there too, which changes no number.
+    The rest (all rows, where more than 1 in MOSTLY_ALONE is a copy) are
+    counted and regenerated by :func:`numbered_copies`.  Equal hashes of
+    different rows send them there too, which changes no number.
 
     The hashes are counted when the plan is built, by one job over ``raw``.
     """
@@ -45,14 +47,16 @@ def with_occurrence(raw: DataFrame) -> DataFrame:
         return raw
     spark = raw.sparkSession
     row = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])
-    found = (raw.select(row.alias("__row")).groupBy("__row").agg(F.count(F.lit(1)).alias("__copies"))
-             .filter(F.col("__copies") > 1).select("__row").limit(MAX_REPEATED + 1).collect())
+    rows = Observation()
+    found = (raw.select(row.alias("__row")).observe(rows, F.count(F.lit(1)).alias("n"))
+             .groupBy("__row").agg(F.count(F.lit(1)).alias("__copies"))
+             .filter(F.col("__copies") > 1).limit(MAX_REPEATED + 1).collect())
     alone = F.lit(1).cast("bigint").alias("occurrence")
     if not found:
         return raw.select("*", alone)
-    if len(found) > MAX_REPEATED:
+    if len(found) > MAX_REPEATED or MOSTLY_ALONE * sum(r["__copies"] for r in found) > rows.get["n"]:
         return numbered_copies(raw)
-    repeated = F.broadcast(spark.createDataFrame(found, "__row bigint"))  # at most MAX_REPEATED
+    repeated = F.broadcast(spark.createDataFrame([(r["__row"],) for r in found], "__row bigint"))
     hashed = raw.withColumn("__row", row)
     return hashed.join(repeated, "__row", "left_anti").select(*raw_cols(raw), alone).unionByName(
         numbered_copies(hashed.join(repeated, "__row", "left_semi").select(*raw_cols(raw))))

@@ -15,6 +15,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitaldf.functions import barrier
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -384,7 +386,9 @@ def spark_sql_text(sql: str) -> str:
 
 
 def raw(spark: SparkSession, sql: str) -> DataFrame:
-    return spark.sql(spark_sql_text(sql))
+    """Export rows, as if read from files: later expressions don't take in those that made a column."""
+    rows = spark.sql(spark_sql_text(sql))
+    return rows.select(*[barrier(F.col(f"`{c}`")).alias(c) for c in rows.columns])
 
 
 def raw_steps(spark):

@@ -13,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot never compiles methods of over 8000 bytes: a generated stage that long would run
-    # interpreted for every row, while its operators one by one are split into small methods
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
