@@ -547,11 +547,27 @@ def _expected_sql():
     UNION ALL SELECT source, sub_type, CASE WHEN calories IS NULL THEN 'calories' ELSE '' END
       FROM ({ok(O.o_moves_summary())}) f
     UNION ALL SELECT source, sub_type, 'heart_rate,blood_pressure' FROM ({ok(O.o_manual()['glucose'])}) g
-    UNION ALL SELECT source, sub_type, 'heart_rate' FROM ({ok(O.o_manual()['blood_pressure'])}) h"""
-
-
-EXPECTED_LAYOUTS = ("gyro_steps", "gyro_workouts", "gyro_vitals", "sleep_quality", "moves_activities",
-                    "moves_summary", "manual_glucose", "manual_blood_pressure")
+    UNION ALL SELECT source, sub_type, 'heart_rate' FROM ({ok(O.o_manual()['blood_pressure'])}) h
+    UNION ALL SELECT source, sub_type, CASE sub_type WHEN 'minute_steps' THEN 'calories,distance'
+      WHEN 'minute_calories' THEN 'steps,distance' ELSE 'steps,calories,distance' END
+      FROM ({ok(O.o_nike_minutes())}) i
+    UNION ALL SELECT source, sub_type, concat_ws(',', CASE WHEN steps IS NULL THEN 'steps' END,
+      CASE WHEN calories IS NULL THEN 'calories' END, CASE WHEN distance IS NULL THEN 'distance' END)
+      FROM ({ok(O.o_nike_summary())}) j
+    """ + " ".join(f"UNION ALL SELECT source, sub_type, '{missing}' FROM ({ok(sql)}) k{i}"
+                   for i, (missing, sql) in enumerate([
+                       *[("heart_rate,blood_pressure", O.o_manual()[k]) for k in _HEALTH_LOGS],
+                       ("", O.o_gyro_sleep()), ("", O.o_gyro_visits()), ("", O.o_sleep_simple()),
+                       ("sleep_start,sleep_end", O.o_sleep_detailed()),
+                       ("sleep_duration,sleep_start,sleep_end", O.o_sleep_generic()),
+                       ("", O.o_habits()), ("", O.o_moves_places()), ("", O.o_moves_places_json())]))
+
+
+_HEALTH_LOGS = ("migraine", "symptoms", "medication", "mood", "pain", "weight", "general")
+EXPECTED_LAYOUTS = ("gyro_steps", "gyro_workouts", "gyro_vitals", "gyro_sleep", "gyro_visits", "sleep_quality",
+                    "sleep_simple", "sleep_detailed", "sleep_generic", "habits", "nike", "moves_activities",
+                    "moves_summary", "moves_places", "moves_places_json", "manual_glucose",
+                    "manual_blood_pressure", *[f"manual_{k}" for k in _HEALTH_LOGS])
 
 
 @q("dq_expected_fields", lambda: f"""
