@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import brute  # noqa: I001
 from brute import prose
-from vitaldf.llm import (license_scan, mixing, packing, quality, secret_scan, sharding, simhash, token_files,
+from vitaldf.llm import (mixing, packing, quality, secret_scan, sharding, simhash, token_files,
                          tokens, topk, toxicity)
 
 SF = "/root/testdata/sf0.001"
@@ -65,38 +65,6 @@ def test_many_matches_in_one_text(spark):
         (s, e) for s, _, k, e in brute.base_spans(text) if k == "assign"]
 
 
-# --- 2 licences --------------------------------------------------------------
-
-def test_licenses(edge_docs, no_docs, spark):
-    got = Counter((r["doc_id"], r["license"]) for r in license_scan.scan(edge_docs).collect())
-    assert got[(14, "MIT")] == 1 and sum(n for (_, x), n in got.items() if x) == 1
-    assert license_scan.scan(no_docs).count() == 0
-    texts = [t for _, t in license_scan.TEMPLATES]
-    rows = license_scan.scan(spark.createDataFrame(
-        [(i, f"{prose(i, 40)}\n{t.upper()}\n{prose(i + 50, 30)}") for i, t in enumerate(texts)],
-        "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r["license"] for r in rows] == [n for n, _ in license_scan.TEMPLATES]
-    assert all(r["dice"] == 1.0 for r in rows)
-
-
-def test_size_bounds_lose_nothing():
-    m, r = license_scan.Matcher(), random.Random(5)
-    for _ in range(300):
-        words = r.choice(license_scan.TEMPLATES)[1].split()
-        for _ in range(r.randrange(4)):
-            words.insert(r.randrange(len(words)), "extra")
-        if r.random() < 0.5:
-            words = words[r.randrange(3):]
-        line = " ".join(words)
-        found = license_scan.bigrams(line.translate(license_scan._ASCII_LOWER))
-        best = {}
-        for name, t, _, _ in m.templates:
-            dice = 2 * len(found & t) / (len(found) + len(t)) if found else 0
-            if dice >= m.threshold:
-                best[name] = max(best.get(name, 0), dice)
-        assert m.matches(line) == best
-
-
 # --- 3 mixing ----------------------------------------------------------------
 
 def test_mixing_reaches_weights_and_is_repeatable(spark):

@@ -1,78 +1,75 @@
-"""License scan: normalised text against licence templates by Dice over word bigrams.
-
-Segments of a text (each line, each paragraph between empty lines, the whole)
-are normalised to words of a-z and 0-9 and compared with each template by
-2 * |A and B| / (|A| + |B|) over the sets of word bigrams.  A template is a
-candidate only if the sizes alone allow the threshold:
-|B| * t / (2 - t) <= |A| <= |B| * (2 - t) / t.
+"""License scan: normalised text compared with licence templates by Dice over word bigrams.
+
+A text is normalised to its words of a-z and 0-9 (other characters, line
+breaks and comment marks among them, only part words), so that a notice is
+found wherever it stands, however it is wrapped.  Windows of the words are
+compared with each template by 2 * |A and B| / (|A| + |B|) over the sets of
+word bigrams; those of at least the threshold match.
+
+A window consists of whole runs of the template's bigrams and of what lies
+between them: any other window can be trimmed or widened to such a one with a
+Dice as high.  A window of several runs has at most (2 - t) / t times the
+template's bigrams, t being the threshold.  Sizes alone bound the search:
+|B| * t / (2 - t) <= |A| <= |B| * (2 - t) / t.  A template is a candidate
+only if as many of its bigrams as the lower bound asks for occur in the text,
+and a window only if they occur within its reach.
+
+Matching windows may overlap, for a licence and its siblings share most of
+their words.  A stretch of words names one licence: the window that shares
+most bigrams with its template stays (ties: larger Dice, smaller start,
+smaller end, earlier template), and those that share a bigram of the text with it go.
 
 A document is compared in the task that reads it, without a shuffle; the
 templates are a fixed list.  Nulls and edge cases: a null or empty text, or
-one without two words in a row, has no licence (null) and Dice 0.  Repeated
-rows and ids behave alike; ties go to the licence first in order of name.
+one without two words in a row, has no notice, no licence (null) and Dice 0.
+Repeated rows and ids behave alike, each row by itself; extra columns are not
+read.  Very long texts are held as four bytes a word.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from functools import lru_cache
+from itertools import repeat
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitaldf.llm.common import text_or_empty
+from vitaldf.llm.license_texts import TEMPLATES
 
 THRESHOLD = 0.8
 #: for rounding in the size bounds
 ROOM = 1e-6
+#: bytes of a text whose words are listed at a time
+CHUNK = 1 << 20
+
+_WORDS = re.compile(b"[a-z0-9]+")
+_BREAK = re.compile(b"[^a-z0-9]")
+NOTICES = "array<struct<license: string, dice: double, start: bigint, end: bigint>>"
+
+
+class Notice(NamedTuple):
+    """A match: its words are those from ``start`` to before ``end``."""
 
-#: Notices and paragraphs by which public licences are granted.
-TEMPLATES = (
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
-     "except in compliance with the License. You may obtain a copy of the License at "
-     "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are "
-     "permitted provided that the following conditions are met:"),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the "
-     "LICENSE file."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-     "International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-     "International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or "
-     "neighboring rights to this work."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
-     "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
-     "License, or (at your option) any later version."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
-     "fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
-     "all copies."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-     "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-     "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-     "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-     "subject to the following conditions:"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
-
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORDS = re.compile("[a-z0-9]+")
-_ASCII_LOWER = str.maketrans(_UPPER, _LOWER)
-
-
-def bigrams(segment: str) -> set[tuple[str, str]]:
-    words = _WORDS.findall(segment)
-    return set(zip(words, words[1:], strict=False))
+    license: str
+    dice: float
+    start: int
+    end: int
+
+
+def words_of(text: str):
+    """Lists of the normalised words of ``text``, in order."""
+    data, at = text.encode("utf-8", "replace").lower(), 0
+    while at < len(data):
+        cut = _BREAK.search(data, min(at + CHUNK, len(data)))
+        end = cut.start() if cut else len(data)
+        yield _WORDS.findall(data, at, end)
+        at = end
 
 
 def size_bounds(size: int, threshold: float) -> tuple[float, float]:
@@ -80,53 +77,121 @@ def size_bounds(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold) - ROOM, size * (2 - threshold) / threshold + ROOM
 
 
-def segments(text: str) -> list[str]:
-    lines = text.split("\n")
-    paragraphs = text.split("\n\n")
-    return [*lines, *(p for p in paragraphs if "\n" in p), *([text] if len(paragraphs) > 1 else [])]
-
-
 class Matcher:
     def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
         self.threshold = threshold
-        self.templates = [(name, s := bigrams(text.translate(_ASCII_LOWER)), *size_bounds(len(s), threshold))
-                          for name, text in templates]
-        self.least = min((t[2] for t in self.templates), default=0)
-        self.most = max((t[3] for t in self.templates), default=0)
-        self.words = {w for t in self.templates for b in t[1] for w in b}
-
-    def matches(self, text: str) -> dict[str, float]:
-        """The best Dice coefficient of each licence that reaches the threshold."""
-        best: dict[str, float] = {}
-        text = text.translate(_ASCII_LOWER)
-        for segment in segments(text):
-            # a segment has as many bigrams as spaces or other separators, at most
-            if len(segment) < 2 * self.least or len(words := _WORDS.findall(segment)) <= self.least:
-                continue
-            if sum(w in self.words for w in words) <= self.least:
-                continue
-            found = set(zip(words, words[1:], strict=False))
-            if not self.least <= len(found) <= self.most:
-                continue
-            for name, template, low, high in self.templates:
-                if low <= len(found) <= high:
-                    dice = 2.0 * len(found & template) / (len(found) + len(template))
-                    if dice >= self.threshold and dice > best.get(name, 0.0):
-                        best[name] = dice
-        return best
+        self.names = [name for name, _ in templates]
+        words = [[w for part in words_of(text) for w in part] for _, text in templates]
+        #: words of the templates, from 1; 0 stands for any other word
+        self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in words for w in t}), 1)}
+        pairs = [[(self.vocabulary[a], self.vocabulary[b]) for a, b in zip(t, t[1:], strict=False)] for t in words]
+        known = {p: i for i, p in enumerate(sorted({p for t in pairs for p in t}), 1)}
+        #: the number of a bigram of the templates by its two words; 0 for any other
+        self.bigram = np.zeros((len(self.vocabulary) + 1,) * 2, np.int32)
+        for (a, b), i in known.items():
+            self.bigram[a, b] = i
+        #: by template and bigram, whether it holds it
+        self.member = np.zeros((len(templates), len(known) + 1), bool)
+        for i, t in enumerate(pairs):
+            self.member[i, [known[p] for p in t]] = True
+        self.sizes = self.member.sum(axis=1)
+        bounds = [size_bounds(int(n), threshold) for n in self.sizes]
+        self.least = np.array([low for low, _ in bounds])
+        self.most = [high for _, high in bounds]
+        self.reach = [int(size_bounds(len(t), threshold)[1]) for t in pairs]
+
+    def notices(self, text: str) -> list[Notice]:
+        """The notices of a text, in order of their start."""
+        parts = [np.fromiter(map(self.vocabulary.get, p, repeat(0)), np.int32, len(p)) for p in words_of(text)]
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        if len(ids) < 2:
+            return []
+        found = self.bigram[ids[:-1], ids[1:]]
+        present = np.zeros(self.member.shape[1], bool)
+        present[found] = True
+        present[0] = False
+        candidates = np.flatnonzero((self.member[:, present].sum(axis=1) >= self.least) & (self.sizes > 0))
+        if not len(candidates):
+            return []
+        codes = self._codes(text, len(ids))
+        matched = sorted(w for t in candidates for w in self._windows(int(t), found, codes))
+        starts: list[int] = []
+        taken: list[Notice] = []
+        for _, _, start, end, t, dice in matched:
+            # those taken don't overlap, so the last that starts up to ``end`` is the one to look at
+            i = bisect_right(starts, end)
+            if i == 0 or taken[i - 1].end - 2 < start:
+                starts.insert(i, start)
+                taken.insert(i, Notice(self.names[t], dice, start, end + 2))
+        return taken
+
+    @staticmethod
+    def _codes(text: str, n: int) -> np.ndarray:
+        """A number for each bigram of the text, equal for equal bigrams alone."""
+        seen: dict[bytes, int] = {}
+        ids = np.fromiter((seen.setdefault(w, len(seen)) for p in words_of(text) for w in p), np.int64, n)
+        return ids[:-1] << 32 | ids[1:]
+
+    def _windows(self, t: int, found: np.ndarray, codes: np.ndarray):
+        """(-shared, -dice, first bigram, last bigram, template, dice) of each window that matches."""
+        member, size, least, most, reach = self.member[t], int(self.sizes[t]), self.least[t], self.most[t], self.reach[t]
+        hits = np.flatnonzero(member[found])
+        edges = np.flatnonzero(np.diff(hits) > 1)
+        firsts = hits[np.concatenate(([0], edges + 1))]
+        lasts = hits[np.concatenate((edges, [len(hits) - 1]))]
+        # hits that a window from each run on may hold: those in reach, or the run's own
+        ends = np.maximum(firsts + reach, lasts + 1)
+        enough = np.searchsorted(hits, ends) - np.searchsorted(hits, firsts) >= least
+        for i in np.flatnonzero(enough):
+            start, at, seen, shared = int(firsts[i]), int(firsts[i]), set(), 0
+            for j in range(i, len(firsts)):
+                end = int(lasts[j])
+                if j > i and end - start >= reach:
+                    break
+                for code, bigram in zip(codes[at:end + 1].tolist(), found[at:end + 1].tolist(), strict=True):
+                    if code not in seen:
+                        seen.add(code)
+                        shared += bool(member[bigram])
+                at = end + 1
+                if len(seen) > most:
+                    break
+                dice = 2.0 * shared / (len(seen) + size)
+                if dice >= self.threshold:
+                    yield -shared, -dice, start, end, t, dice
+
+
+@lru_cache(maxsize=4)
+def _matcher(templates: tuple, threshold: float) -> Matcher:
+    return Matcher(templates, threshold)
+
+
+def notices(text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """The notices in a text column, in order: an array of (license, dice, start, end), in words."""
+    templates = tuple((name, text) for name, text in templates)
+
+    @F.pandas_udf(NOTICES)
+    def found(texts: pd.Series) -> pd.Series:
+        matcher = _matcher(templates, threshold)
+        return pd.Series([[n._asdict() for n in matcher.notices(t)] for t in texts], dtype=object)
+
+    return found(text_or_empty(text_col))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: the id, the best ``license`` with its ``dice``, and ``licenses`` (all, by name)."""
-    @F.pandas_udf("license string, dice double, licenses string")
-    def matched(texts: pd.Series) -> pd.DataFrame:
-        matcher, rows = Matcher(templates, threshold), []
-        for text in texts:
-            best = matcher.matches(text)
-            name = min(best, key=lambda n: (-best[n], n)) if best else None
-            rows.append((name, best.get(name, 0.0), ",".join(sorted(best))))
-        return pd.DataFrame(rows, columns=["license", "dice", "licenses"])
-
-    return (docs.select(F.col(f"`{id_col}`").alias(id_col), matched(text_or_empty(text_col)).alias("m"))
-            .select(id_col, "m.*"))
+    """Per document: the id and what was found in its text.
+
+    ``license`` and ``dice`` are those of the notice with the largest Dice
+    (ties: by name), ``licenses`` all names in order, each once, and
+    ``notices`` each notice as name:start:end, in words, by start.
+    """
+    found = docs.select(F.col(f"`{id_col}`").alias(id_col), notices(text_col, templates, threshold).alias("found"))
+    best = F.array_sort("found", lambda a, b: F.when(a["dice"] != b["dice"], F.signum(b["dice"] - a["dice"]))
+                        .when(a["license"] < b["license"], F.lit(-1.0))
+                        .when(a["license"] > b["license"], F.lit(1.0)).otherwise(F.lit(0.0)).cast("int"))
+    spans = F.transform("found", lambda n: F.concat_ws(":", n["license"], n["start"], n["end"]))
+    return found.withColumn("best", F.get(best, F.lit(0))).select(
+        id_col, F.col("best.license").alias("license"),
+        F.coalesce("best.dice", F.lit(0.0)).alias("dice"),
+        F.array_join(F.array_sort(F.array_distinct("found.license")), ",").alias("licenses"),
+        F.array_join(spans, ",").alias("notices"))

@@ -43,31 +43,45 @@ FROM d LEFT JOIN s USING (row_no) GROUP BY row_no"""
 
 def _licenses() -> str:
     rows = ", ".join(f"({i}, {_text(n)}, {_text(t)})" for i, (n, t) in enumerate(license_scan.TEMPLATES))
-    upper, lower = license_scan._UPPER, license_scan._LOWER
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     t, room = f"{license_scan.THRESHOLD}::DOUBLE", f"{license_scan.ROOM}::DOUBLE"
 
     def words(col):
         return f"regexp_extract_all(translate({col}, '{upper}', '{lower}'), '[a-z0-9]+')"
 
-    def pairs(col):
-        return (f"list_distinct(list_transform(range(1, greatest(len({col}), 1)), "
-                f"lambda i: {col}[i] || ' ' || {col}[i + 1]))")
-
+    pairs = "unnest(list_transform(range(1, greatest(len(w), 1)), lambda k: w[k] || ' ' || w[k + 1])) AS pair"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents),
-t AS (SELECT name, {pairs('w')} AS tb FROM (
-        SELECT name, {words('template')} AS w FROM (VALUES {rows}) AS v(i, name, template))),
-seg AS (SELECT row_no, unnest(string_split(text, chr(10))) AS s FROM d
-  UNION ALL SELECT row_no, s FROM (SELECT row_no, unnest(string_split(text, chr(10) || chr(10))) AS s FROM d)
-  UNION ALL SELECT row_no, text FROM d),
-b AS (SELECT row_no, {pairs('w')} AS sb FROM (SELECT row_no, {words('s')} AS w FROM seg) WHERE len(w) > 1),
-x AS (SELECT row_no, name, 2.0::DOUBLE * len(list_intersect(sb, tb)) / (len(sb) + len(tb)) AS dice
-      FROM b JOIN t ON len(sb) BETWEEN len(tb) * {t} / (2 - {t}) - {room} AND len(tb) * (2 - {t}) / {t} + {room}),
-h AS (SELECT row_no, name, max(dice) AS dice FROM x WHERE dice >= {t} GROUP BY ALL),
-g AS (SELECT row_no, first(name ORDER BY dice DESC, name) AS license, max(dice) AS dice,
-        string_agg(name, ',' ORDER BY name) AS licenses FROM h GROUP BY row_no)
-SELECT doc_id, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses
-FROM d LEFT JOIN g USING (row_no)"""
+ta AS (SELECT i, name, {pairs} FROM (SELECT i, name, {words('template')} AS w FROM (VALUES {rows}) AS v(i, name, template))),
+tb AS (SELECT DISTINCT i, pair FROM ta),
+ts AS (SELECT i, any_value(name) AS name, count(DISTINCT pair) AS size,
+        floor(count(*) * (2 - {t}) / {t} + {room})::BIGINT AS reach FROM ta GROUP BY i),
+b AS (SELECT row_no, {pairs}, unnest(range(0, greatest(len(w) - 1, 0))) AS pos
+      FROM (SELECT row_no, {words('text')} AS w FROM d)),
+hits AS (SELECT row_no, i, pos, pair FROM b JOIN tb USING (pair)),
+cand AS (SELECT row_no, i FROM hits JOIN ts USING (i) GROUP BY row_no, i, size
+         HAVING count(DISTINCT pair) >= size * {t} / (2 - {t}) - {room}),
+near AS (SELECT row_no, i, pos, pos - row_number() OVER (PARTITION BY row_no, i ORDER BY pos) AS run
+         FROM hits JOIN cand USING (row_no, i)),
+runs AS (SELECT row_no, i, min(pos) AS s, max(pos) AS e FROM near GROUP BY row_no, i, run),
+wins AS (SELECT x.row_no, x.i, x.s, y.e FROM runs x JOIN ts USING (i)
+         JOIN runs y ON y.row_no = x.row_no AND y.i = x.i AND y.s >= x.s AND (y.s = x.s OR y.e - x.s < reach)),
+counts AS (SELECT wins.row_no, wins.i, s, e, count(DISTINCT b.pair) AS n, count(DISTINCT tb.pair) AS shared
+           FROM wins JOIN b ON b.row_no = wins.row_no AND b.pos BETWEEN s AND e
+           LEFT JOIN tb ON tb.i = wins.i AND tb.pair = b.pair GROUP BY wins.row_no, wins.i, s, e),
+m AS (SELECT row_no, i, name, s, e, shared, 2.0::DOUBLE * shared / (n + size) AS dice
+      FROM counts JOIN ts USING (i) WHERE 2.0::DOUBLE * shared / (n + size) >= {t}),
+g AS (SELECT row_no, list_reduce(
+        list([{{'name': name, 'dice': dice, 's': s, 'e': e}}] ORDER BY shared DESC, dice DESC, s, e, i),
+        lambda kept, x: CASE WHEN len(list_filter(kept, lambda k: k.s <= x[1].e AND x[1].s <= k.e)) > 0
+                             THEN kept ELSE kept || x END) AS kept FROM m GROUP BY row_no),
+u AS (SELECT row_no, unnest(kept) AS k FROM g),
+r AS (SELECT row_no, first(k.name ORDER BY k.dice DESC, k.name) AS license, max(k.dice) AS dice,
+        string_agg(DISTINCT k.name, ',' ORDER BY k.name) AS licenses,
+        string_agg(k.name || ':' || k.s || ':' || (k.e + 2), ',' ORDER BY k.s) AS notices FROM u GROUP BY row_no)
+SELECT doc_id, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses,
+  coalesce(notices, '') AS notices
+FROM d LEFT JOIN r USING (row_no)"""
 
 
 def _mixing() -> str:
