@@ -194,13 +194,17 @@ def test_block_max_search_is_exact():
     vectors = [unit() for _ in range(400)] + [{}] * 5
     vectors += vectors[:40]
     index = toxicity.BlockMaxIndex(vectors, 30, block=16)
-    for _ in range(60):
-        q = unit()
+    queries = [unit() for _ in range(150)]
+    for q, got in zip(queries, index.nearest(queries, 7), strict=True):
         cos = [sum(w * v.get(t, 0) for t, w in q.items()) for v in vectors]
         want = sorted((c for c in cos if c > 0), reverse=True)[:7]
-        got = index.nearest(q, 7)
         assert np.allclose([c for _, c in got], want)
         assert all(abs(cos[i] - c) < 1e-9 for i, c in got)
+    alike = index.nearest(vectors[:40] + [{}], 7, [*range(40), 0])
+    assert all(abs(near[0][1] - 1) < 1e-9 and i not in dict(near) for i, near in enumerate(alike[:40]))
+    assert alike[40] == [] and toxicity.BlockMaxIndex([], 30).nearest(queries, 7) == [[]] * 150
+    few = toxicity.BlockMaxIndex(vectors, 30, block=16, rows=3)
+    assert [[i for i, _ in x] for x in few.nearest(queries, 7)] == [[i for i, _ in x] for x in index.nearest(queries, 7)]
 
 
 def toxic_corpus(n):

@@ -7,9 +7,10 @@ all others, and a text's norm is over all its terms.  No term is dropped:
 each has the weight (1 + ln count) * idf * trust, where trust grows from a
 small floor to 1 with how surely the term's presence tells the labels apart
 (G squared), so that noise stays small.  Each document's K nearest examples
-are found with a block-max inverted index: posting lists in blocks of
+are found with a block-max inverted index: long posting lists in blocks of
 examples, with the largest weight of each (term, block), so that blocks whose
-bound can't reach the K-th cosine are skipped; the result is exact.
+bound can't reach the K-th cosine are skipped; the result is exact.  Terms
+that no example has are told apart by 64-bit hashes.
 
 Votes are weighted by squared cosine and by how many training rows an example
 stands for.  Isotonic regression on the examples' own leave-one-out votes
@@ -30,6 +31,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,10 @@ K = 15
 #: squared cosine by which the rate of all examples counts in a vote
 PRIOR = 0.05
 BLOCK = 64
+#: terms whose lists are laid out as rows, at most
+ROWS = 512
+#: queries that are searched together, at most
+QUERIES = 64
 #: blocks that are searched first, for a bound of the K-th cosine
 FIRST_BLOCKS = 4
 FOLDS = 5
@@ -65,9 +71,16 @@ def text_terms(text: str) -> list[str]:
 
 
 class BlockMaxIndex:
-    """Exact cosine search over unit vectors, given as {term: weight}."""
+    """Exact cosine search over unit vectors, given as {term: weight}.
 
-    def __init__(self, vectors: list[dict[int, float]], terms: int, block: int = BLOCK):
+    The lists of terms that few examples hold are read whole.  Those of the
+    terms that many hold, most of all postings that a query meets, stand by
+    blocks of examples as rows of weights, with the largest weight of each
+    (term, block); a block is read only if its bound reaches the K-th product.
+    The rows are laid out where the index is used, and not sent.
+    """
+
+    def __init__(self, vectors: list[dict[int, float]], terms: int, block: int = BLOCK, rows: int = ROWS):
         # alike examples side by side give tight block bounds
         self.order = sorted(range(len(vectors)), key=lambda i: (sorted(
             vectors[i], key=lambda t: (-vectors[i][t], t)), i))
@@ -79,14 +92,14 @@ class BlockMaxIndex:
         by = np.lexsort((at, term))
         small = np.int16 if len(self.order) < 1 << 15 else np.int32  # the index is sent to every task
         self.at, self.weights = at[by].astype(small), weight[by]
-        # one list for each term and block that holds it: where it starts, its block, its largest weight
-        key = term[by] * max(1, self.blocks) + at[by] // block
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        self.starts = np.append(first, len(key)).astype(np.int32)
-        self.in_block = (key[first] % max(1, self.blocks)).astype(small)
-        self.largest = np.maximum.reduceat(self.weights, first) if len(key) else np.zeros(0)
-        self.largest = np.nextafter(self.largest.astype(np.float32), np.float32(np.inf))  # still a bound
-        self.lists = np.searchsorted(key[first] // max(1, self.blocks), np.arange(terms + 1)).astype(np.int32)
+        self.starts = np.searchsorted(term[by], np.arange(terms + 1)).astype(np.int32)
+        length = np.diff(self.starts)
+        longest = np.argsort(-length, kind="stable")[:rows]
+        self.long = np.sort(longest[length[longest] > len(vectors) // 16])
+        self._table = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_table": None}
 
     @staticmethod
     def _ranges(first: np.ndarray, until: np.ndarray) -> np.ndarray:
@@ -94,36 +107,72 @@ class BlockMaxIndex:
         n = until - first
         return np.arange(n.sum(), dtype=np.int32) + np.repeat(first - np.cumsum(n, dtype=np.int32) + n, n)
 
-    def _scores(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        first, until = self.starts[lists], self.starts[lists + 1]
-        i = self._ranges(first, until)
-        return np.bincount(self.at[i], np.repeat(weights, until - first) * self.weights[i],
-                           self.blocks * self.block)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[int, float]]:
-        """(example, product) of the k nearest with a common term; ties to the smaller example."""
-        first, until = self.lists[terms], self.lists[terms + 1]
-        lists, weights = self._ranges(first, until), np.repeat(weights, until - first)
-        if not len(lists):
-            return []
-        inside = self.in_block[lists]
-        bounds = np.bincount(inside, weights * self.largest[lists], self.blocks)
-        early = np.zeros(self.blocks, bool)
-        early[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
-        scores = self._scores(lists[early[inside]], weights[early[inside]])
-        # one more than k, as an example may be left out
-        least = np.partition(scores, -k - 1)[-k - 1] * (1 - 1e-9) if k < len(scores) else 0.0
-        late = ~early & (bounds > 0) & (bounds >= least)
-        if late.any():
-            scores += self._scores(lists[late[inside]], weights[late[inside]])
-            least = np.partition(scores, -k - 1)[-k - 1] * (1 - 1e-9) if k < len(scores) else 0.0
-        hits = np.flatnonzero((scores > 0) & (scores >= least))
-        best = sorted(zip((-scores[hits]).tolist(), self.order[hits].tolist(), strict=True))
-        return [(i, -s) for s, i in best if i != without][:k]
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[int, float]]:
-        terms = sorted(query)
-        return self.search(np.array(terms, np.int64), np.array([query[t] for t in terms], float), k, without)
+    def _rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each term's row or -1, the weights by block, example and row, and their maxima by block and row."""
+        if self._table is None:
+            row = np.full(len(self.starts) - 1, -1, np.int32)
+            row[self.long] = np.arange(len(self.long))
+            first, until = self.starts[self.long], self.starts[self.long + 1]
+            i = self._ranges(first, until)
+            table = np.zeros((self.blocks * self.block, len(self.long)))
+            table[self.at[i], np.repeat(np.arange(len(self.long)), until - first)] = self.weights[i]
+            table = table.reshape(self.blocks, self.block, len(self.long))
+            self._table = row, table, table.max(axis=1)
+        return self._table
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
+               without: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """(example, product) of the k nearest with a common term; ties to the smaller example.
+
+        Queries are pairs of terms and weights.  They are searched together, so
+        that a block is read once for all that need it; QUERIES bounds how many.
+        """
+        if not self.blocks or not queries:
+            return [[] for _ in queries]
+        row, table, peaks = self._rows()
+        read = np.zeros((len(queries), self.blocks * self.block))
+        w = np.zeros((len(queries), len(self.long)))
+        for q, (terms, weights) in enumerate(queries):
+            rows = row[terms]
+            short = rows < 0
+            w[q, rows[~short]] = weights[~short]
+            first, until = self.starts[terms[short]], self.starts[terms[short] + 1]
+            i = self._ranges(first, until)
+            read[q] = np.bincount(self.at[i], np.repeat(weights[short], until - first) * self.weights[i],
+                                  read.shape[1])
+        scores = read.copy()
+        by_block = scores.reshape(len(queries), self.blocks, self.block)
+        bounds = by_block.max(axis=2) + w @ peaks.T
+
+        def add(wanted):  # by query and block
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                some = np.flatnonzero(wanted[:, b])
+                by_block[some, b] += w[some] @ table[b].T
+
+        def least():  # one more than k, as an example may be left out
+            if k >= scores.shape[1]:
+                return np.zeros((len(queries), 1))
+            return np.partition(scores, -k - 1, axis=1)[:, [-k - 1]] * (1 - 1e-9)
+
+        early = np.zeros(bounds.shape, bool)
+        np.put_along_axis(early, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
+        add(early)
+        add(~early & (bounds * (1 + 1e-9) >= least()))
+        near = (scores > 0) & (scores >= least())
+        found = []
+        for q in range(len(queries)):
+            hits = np.flatnonzero(near[q])
+            # added up alike for each example, so that equal ones tie
+            exact = read[q, hits] + (table.reshape(-1, len(self.long))[hits] * w[q]).sum(axis=1)
+            best = sorted(zip((-exact).tolist(), self.order[hits].tolist(), strict=True))
+            found.append([(i, -s) for s, i in best if without is None or i != without[q]][:k])
+        return found
+
+    def nearest(self, queries: list[dict[int, float]], k: int,
+                without: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        pairs = [(np.array(sorted(q), np.int64), np.array([q[t] for t in sorted(q)], float)) for q in queries]
+        return [near for at in range(0, len(pairs), QUERIES)
+                for near in self.search(pairs[at:at + QUERIES], k, without and without[at:at + QUERIES])]
 
 
 class Votes:
@@ -192,7 +241,7 @@ class Model:
         both = len(set(votes.labels.tolist())) == 2
         if both:
             votes.rate = votes.share(bare, votes.prior)
-            votes.calibrate([self.index.nearest(v, k, i) if v else [] for i, v in enumerate(vectors)])
+            votes.calibrate(self.index.nearest(vectors, k, list(range(len(vectors)))))
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return (1 + np.log(counts)) * self.factors[terms]
@@ -203,12 +252,15 @@ class Model:
         norm = float(w @ w) ** 0.5
         return dict(zip(terms, (w / norm).tolist(), strict=True)) if norm else {}
 
-    def products(self, terms: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[int, float]], float]:
-        """The nearest examples with their products, and the terms' share of the squared norm."""
-        if not len(terms) or not self.votes.steps:
-            return [], 0.0
-        w = self.weigh(terms, counts)
-        return self.index.search(terms, w, self.k), float(w @ w)
+    def products(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[list, float]]:
+        """For terms and counts, the nearest examples with their products, and the share of the squared norm."""
+        for at in range(0, len(queries), QUERIES):
+            some = [(t, self.weigh(t, n)) for t, n in queries[at:at + QUERIES]]
+            if not self.votes.steps:
+                yield from (([], 0.0) for _ in some)
+                continue
+            found = self.index.search(some, self.k)
+            yield from ((near, float(w @ w)) for near, (_, w) in zip(found, some, strict=True))
 
 
 def idf(n, documents: int):
@@ -216,7 +268,7 @@ def idf(n, documents: int):
 
 
 def _counted(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
-    """(id, terms, counts, others, other_counts): each document's terms, those known by number."""
+    """(id, terms, counts, others, other_counts): each document's terms, those known by number, others by hash."""
     known = {t: i for i, t in enumerate(terms)}
 
     @F.pandas_udf("terms array<int>, counts array<int>, others array<string>, other_counts array<int>")
@@ -224,13 +276,16 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> D
         rows = []
         for text in texts:
             c = Counter(text_terms(text))
-            numbers = sorted((i, n) for t, n in c.items() if (i := known.get(t)) is not None)
-            others = [t for t in c if t not in known] if len(numbers) < len(c) else []
-            rows.append(([i for i, _ in numbers], [n for _, n in numbers], others, [c[t] for t in others]))
+            number = np.fromiter(map(known.get, c, repeat(-1)), np.int32, len(c))
+            n = np.fromiter(c.values(), np.int32, len(c))
+            by = np.argsort(number, kind="stable")
+            by = by[np.searchsorted(number[by], 0):]
+            rows.append((number[by], n[by], list(compress(c, number < 0)), n[number < 0]))
         return pd.DataFrame(rows, columns=["terms", "counts", "others", "other_counts"])
 
     return (docs.select(F.col(f"`{id_col}`").alias("id"), count(text_or_empty(text_col)).alias("c"))
-            .select("id", "c.*"))
+            .select("id", "c.terms", "c.counts", F.transform("c.others", lambda t: F.xxhash64(t)).alias("others"),
+                    "c.other_counts"))
 
 
 def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,8 +386,8 @@ def score(model: Model, counted: DataFrame, id_col: str = "doc_id") -> DataFrame
 
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [model.products(t.astype(np.int64), n.astype(float))
-                   for t, n in zip(b["terms"], b["counts"], strict=True)]
+            out = list(model.products([(t.astype(np.int64), n.astype(float))
+                                       for t, n in zip(b["terms"], b["counts"], strict=True)]))
             yield pd.DataFrame({
                 "row": b["row"], "id": b["id"], "near": [[i for i, _ in near] for near, _ in out],
                 "products": [[x for _, x in near] for near, _ in out], "known": [x for _, x in out]})
