@@ -54,8 +54,10 @@ _PIECE_ENDS, _GAPS = "[.,;:!?\n-\r]", "[ \t]+"
 _KEY_BITS = 48
 #: bytes of text whose n-grams one range gets, on average
 _RANGE_BYTES = 16 << 20
-#: counters that a task holds before it sends them on
-_TASK_COUNTERS = 6 << 20
+#: counters that a task holds before it sends them on, 16 bytes each and as much again while they are sorted
+_TASK_COUNTERS = 5 << 19
+#: bytes of text whose words a task holds at once (more, if one text is longer)
+_BATCH_BYTES = 4 << 20
 #: the filter has this many bits for a survivor, up to its bound of 32 MB
 _BITS_EACH, MAX_FILTER_BITS = 32, 28
 #: candidates ranked together in the first step
@@ -151,12 +153,16 @@ class Summary:
 
 
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, in order, and the sums of their counts."""
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    """Distinct keys, in order, and the sums of their counts.  Empties both lists, to hold no key twice."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    count = count[order]
+    del order
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -192,9 +198,18 @@ def _sent(keys: np.ndarray, counts: np.ndarray, part_bits: int) -> Iterator[pa.R
             schema=_SENT)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], most: int = _BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of (lang, text) cut at about ``most`` bytes of text."""
+    for b in batches:
+        part = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64) // most
+        first = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+        for a, z in zip(first, [*first[1:], len(part)]):
+            yield b.slice(a, z - a)
+
+
 def _summarised(batches: Iterator[pa.RecordBatch], part_bits: int) -> Iterator[pa.RecordBatch]:
     keys, counts, held = [], [], 0
-    for b in batches:
+    for b in _slices(batches):
         for _, _, k in Tokens.of(b.column(0), b.column(1)).keys():
             k, c = np.unique(k, return_counts=True)
             keys.append(k)
@@ -204,8 +219,10 @@ def _summarised(batches: Iterator[pa.RecordBatch], part_bits: int) -> Iterator[p
             k, c = summed(keys, counts)
             keys, counts, held = [k], [c], len(k)
             if held >= _TASK_COUNTERS // 2:
-                yield from _sent(k, c, part_bits)
                 keys, counts, held = [], [], 0
+                yield from _sent(k, c, part_bits)
+            del k, c
+            pa.default_memory_pool().release_unused()
     if held:
         yield from _sent(*summed(keys, counts), part_bits)
 
@@ -274,7 +291,7 @@ def bit_filter(found: DataFrame) -> np.ndarray:
 def _counted(batches: Iterator[pa.RecordBatch], passing) -> Iterator[pa.RecordBatch]:
     table = np.frombuffer(passing.value, np.uint8)
     shift = np.uint64(_KEY_BITS - (len(table) * 8 - 1).bit_length())
-    for b in batches:
+    for b in _slices(batches):
         tokens = Tokens.of(b.column(0), b.column(1))
         yield tokens.counted(1, np.arange(len(tokens.code)))
         for n, at, key in tokens.keys():
