@@ -57,6 +57,8 @@ QUERIES = 64
 #: blocks that are searched first, for a bound of the K-th cosine
 FIRST_BLOCKS = 4
 FOLDS = 5
+#: documents whose terms a Python task holds at once
+ROWS_AT_ONCE = 1024
 _TERM = re.compile(r"\w+")
 
 
@@ -339,9 +341,15 @@ def _trust(a: np.ndarray, b: np.ndarray, pos: float, neg: float) -> tuple[np.nda
     return sure / (sure + half), CHANCE / (CHANCE + half)
 
 
+def small_batches(spark) -> None:
+    """Rows go to Python tasks ROWS_AT_ONCE at a time, so that their terms need little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
     """The model, and the term counts (row, id, terms, counts, others, other_counts) of all documents."""
+    small_batches(docs.sparkSession)
     train = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).cast("long").alias("id"))
              .agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
