@@ -160,9 +160,8 @@ def metric_make(spark):
            CASE WHEN sub_type = 'glucose' AND glucose IS NOT NULL THEN 0.8 END::DOUBLE AS glucose_confidence
     FROM ({ok(O.o_gyro_vitals())}) t""")
 def metric_value_unit_confidence(spark):
-    v = TB.map_vitals(recs(spark, "gyro_vitals"))
-    r = recs(spark, "gyro_vitals").select("id", "sub_type")
-    return v.join(r, v.record_id == r.id).select(
+    v = TB.map_vitals(recs(spark, "gyro_vitals"), ["sub_type"])
+    return v.select(
         "sub_type", "resting_heart_rate", "resting_hr_unit", "resting_hr_confidence",
         "glucose", "glucose_unit", "glucose_confidence")
 
